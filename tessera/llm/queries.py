@@ -6,22 +6,37 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import op6_mix
+from tessera.llm import op4_decontaminate, op6_mix, op9_tokens
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op4_decontaminate_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_mix.mix(_read(spark, sf_dir, "documents"))
 
 
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return op9_tokens.encode_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_decontaminate_benchmark": op4_decontaminate_benchmark,
         "op6_mix_sources": op6_mix_sources,
+        "op9_token_store": op9_token_store,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mix_sources": op6_mix.ORACLE_SQL}
+    return {
+        "op4_decontaminate_benchmark": op4_decontaminate.ORACLE_SQL,
+        "op6_mix_sources": op6_mix.ORACLE_SQL,
+    }
