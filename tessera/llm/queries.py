@@ -6,13 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import op4_decontaminate, op6_mix, op9_tokens
+from tessera.llm import op1_quality, op3_html, op4_decontaminate, op6_mix, op9_tokens
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return op1_quality.score(docs, op1_quality.train(docs, _read(spark, sf_dir, "labels")))
+
+
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3_html.extract(_read(spark, sf_dir, "pages"))
+
+
 def op4_decontaminate_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -29,6 +38,8 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_classifier": op1_quality_classifier,
+        "op3_main_text": op3_main_text,
         "op4_decontaminate_benchmark": op4_decontaminate_benchmark,
         "op6_mix_sources": op6_mix_sources,
         "op9_token_store": op9_token_store,
