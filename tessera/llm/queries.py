@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import op1_quality, op3_html, op4_decontaminate, op6_mix, op9_tokens
+from tessera.llm import op1_quality, op2_jaccard, op3_html, op4_decontaminate, op6_mix, op9_tokens
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_quality.score(docs, op1_quality.train(docs, _read(spark, sf_dir, "labels")))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_jaccard.groups(_read(spark, sf_dir, "documents"))
+
+
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_html.extract(_read(spark, sf_dir, "pages"))
 
@@ -39,6 +43,7 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
+        "op2_jaccard_join": op2_jaccard_join,
         "op3_main_text": op3_main_text,
         "op4_decontaminate_benchmark": op4_decontaminate_benchmark,
         "op6_mix_sources": op6_mix_sources,
@@ -48,6 +53,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_jaccard_join": op2_jaccard.ORACLE_SQL,
         "op4_decontaminate_benchmark": op4_decontaminate.ORACLE_SQL,
         "op6_mix_sources": op6_mix.ORACLE_SQL,
     }
