@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import op1_quality, op2_jaccard, op3_html, op4_decontaminate, op6_mix, op9_tokens
+from tessera.llm import op1_quality, op2_jaccard, op3_html, op4_decontaminate, op6_mix, op9_tokens, op10_substrings
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_tokens.encode_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_substrings.repeats(_read(spark, sf_dir, "documents")).drop("kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
@@ -48,6 +52,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_decontaminate_benchmark": op4_decontaminate_benchmark,
         "op6_mix_sources": op6_mix_sources,
         "op9_token_store": op9_token_store,
+        "op10_repeated_substrings": op10_repeated_substrings,
     }
 
 
