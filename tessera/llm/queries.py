@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import op1_quality, op2_jaccard, op3_html, op4_decontaminate, op6_mix, op8_chunks, op9_tokens, op10_substrings
+from tessera.llm import op1_quality, op2_jaccard, op3_html, op4_decontaminate, op6_mix, op7_embeddings, op8_chunks, op9_tokens, op10_substrings
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_mix.mix(_read(spark, sf_dir, "documents"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_embeddings.near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
 def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_chunks.dedup(_read(spark, sf_dir, "documents")).drop("kept")
 
@@ -55,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_main_text": op3_main_text,
         "op4_decontaminate_benchmark": op4_decontaminate_benchmark,
         "op6_mix_sources": op6_mix_sources,
+        "op7_near_duplicates": op7_near_duplicates,
         "op8_chunk_dedup": op8_chunk_dedup,
         "op9_token_store": op9_token_store,
         "op10_repeated_substrings": op10_repeated_substrings,
