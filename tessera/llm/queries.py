@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import op1_quality, op2_jaccard, op3_html, op4_decontaminate, op6_mix, op7_embeddings, op8_chunks, op9_tokens, op10_substrings
+from tessera.llm import common, op1_quality, op2_jaccard, op3_html, op4_decontaminate, op5_counts, op6_mix, op7_embeddings, op8_chunks, op9_tokens, op10_substrings
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -30,6 +30,11 @@ def op4_decontaminate_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rollup = op5_counts.Rollup(spark, common.scratch(spark, "counts"))
+    return op5_counts.count_documents(_read(spark, sf_dir, "documents"), rollup, tokenizers={"words-1": op5_counts.words, "marks-1": op5_counts.marks})
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_mix.mix(_read(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_jaccard_join": op2_jaccard_join,
         "op3_main_text": op3_main_text,
         "op4_decontaminate_benchmark": op4_decontaminate_benchmark,
+        "op5_token_counts": op5_token_counts,
         "op6_mix_sources": op6_mix_sources,
         "op7_near_duplicates": op7_near_duplicates,
         "op8_chunk_dedup": op8_chunk_dedup,
@@ -70,5 +76,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_jaccard_join": op2_jaccard.ORACLE_SQL,
         "op4_decontaminate_benchmark": op4_decontaminate.ORACLE_SQL,
+        "op5_token_counts": op5_counts.ORACLE_SQL,
         "op6_mix_sources": op6_mix.ORACLE_SQL,
     }
