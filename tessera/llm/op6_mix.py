@@ -42,10 +42,11 @@ def mix(
     words still wanted, so a source's taken words are its target's whole part.
 
     Ties fall by id and text hash; repeated rows are documents of their own. An empty table gives no rows.
-    Returns id_col, size, source_size, target, taken, source_col. Only id_col, text_col and source_col are read.
+    Returns id_col, size, source_size, target, taken, source_col, tie (of id and text). Only id_col, text_col and
+    source_col are read.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    h = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.lit("|"), F.md5(text)))
+    h = _hash(id_col, text_col, seed)
     u = (F.conv(F.substring(h, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
     key = -F.log(u) / F.greatest(quality_weight(text) if weight is None else weight, F.lit(1e-6))
     d = docs.select(
@@ -76,7 +77,7 @@ def mix(
     d = d.join(small(cut(plan)), "skey")
 
     whole = F.col("epochs") * F.col("size")
-    out = ["id", "size", "source_size", "target", "taken", "source"]
+    out = ["id", "size", "source_size", "target", "taken", "source", "tie"]
     outside = d.where("edge is null or range <> edge").withColumn("taken", whole + F.when(F.col("range") < F.col("edge"), F.col("size")).otherwise(0))
     in_order = Window.partitionBy("skey").orderBy("key", "id", "tie").rowsBetween(Window.unboundedPreceding, -1)
     inside = d.where("range = edge").withColumn("passed", F.col("before") + F.coalesce(F.sum("size").over(in_order), F.lit(0)))
@@ -84,6 +85,33 @@ def mix(
     return outside.select(out).unionByName(inside.select(out)).withColumnsRenamed({"id": id_col, "source": source_col})
 
 
+def _hash(id_col: str, text_col: str, seed: str) -> Column:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.lit("|"), F.md5(text)))
+
+
+def mixed(docs: DataFrame, *, seed: str = "mix-1", **how) -> DataFrame:
+    """The mix itself: rows of docs (doc_id, text, lang, source, n_chars), each as often as it is taken.
+
+    A document that is taken in part at last has a row with its first words, and n_chars of these. Documents of
+    which nothing is taken are left out.
+    """
+    cols = ["doc_id", "text", "lang", "source", "n_chars"]
+    taken = mix(docs, seed=seed, **how).where("taken > 0")
+    plan = cut(taken.groupBy(F.coalesce("doc_id", F.lit(-1)).alias("k"), "tie", "size").agg(F.sum("taken").alias("taken"), F.count("*").alias("rows")))
+    keyed = docs.select(*cols, F.coalesce("doc_id", F.lit(-1)).alias("k"), F.substring(_hash("doc_id", "text", seed), 1, 16).alias("tie"))
+    if plan.where("rows > 1").limit(1).count():  # rows equal in id and text share one plan
+        keyed = keyed.dropDuplicates(["k", "tie"])
+    d = keyed.join(plan, ["k", "tie"])
+    whole, rest = F.floor(F.col("taken") / F.col("size")).cast("int"), F.col("taken") % F.col("size")
+    parts = F.array_repeat(F.lit(0), whole)
+    d = d.withColumn("words", F.explode(F.when(rest > 0, F.concat(parts, F.array(rest.cast("int")))).otherwise(parts)))
+    head = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), F.lit(1), F.greatest(F.col("words"), F.lit(1))), "")
+    text = F.when(F.col("words") == 0, F.col("text")).otherwise(head)
+    n_chars = F.when(F.col("words") == 0, F.col("n_chars")).otherwise(F.length(head))
+    return d.select("doc_id", text.alias("text"), "lang", "source", n_chars.cast("long").alias("n_chars"))
+
+
 def targets(src: DataFrame, source_weights: tuple[float, ...], budget: float, most: int) -> DataFrame:
     """Adds target: shares of budget times all words by weight, none above most times its source's size.
 

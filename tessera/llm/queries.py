@@ -36,7 +36,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op6_mix.mix(_read(spark, sf_dir, "documents"))
+    return op6_mix.mix(_read(spark, sf_dir, "documents")).drop("tie")
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
