@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 SPACE = r"[\x{1C}-\x{1F}\x{85}\p{Z}\s]"
 NOT_WORD = r"[^\p{L}\p{N}_]"
@@ -28,7 +29,7 @@ NAME_COLUMNS = ["name_raw", "name_norm", "name_alnum", "name_core", "name_compac
 ADDRESS_COLUMNS = ["address_raw", "address_norm", "address_alnum", "address_compact", "address_tokens", "address_sorted", "address_numbers", "address_postal", "address_first_number"]
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def nfkc(texts: pd.Series) -> pd.Series:
     """Compatibility composition; text in ASCII passes untouched. SQL has no such function."""
     return texts.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t))
