@@ -119,7 +119,7 @@ def test_train_and_link(spark, tmp_path):
     t.save(str(tmp_path / "model"))
     again = Trained.load(spark, str(tmp_path / "model"))
     found = {x.source1_entity_id: x.matched_entity_ids for x in again.link(l, r).collect()}
-    assert len(found) == 24 and sum(found[a] == b for a, b in truth) >= 20
+    assert len(found) == 24 and sum(b in found[a].split(",") for a, b in truth) >= 20
 
 
 def test_stream(spark, tmp_path):
