@@ -126,7 +126,8 @@ def shingle_sets(hashes: np.ndarray, bounds: np.ndarray, k: int) -> list[np.ndar
     acc = hashes.copy() if n else hashes
     for i in range(1, k):
         acc = acc * _U(0x9FB21C651E98DF25) + _U(i)
-        acc[: n - i] += hashes[i:]
+        if n > i:
+            acc[: n - i] += hashes[i:]
     acc = mix(acc) if n else acc
     out = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
