@@ -62,13 +62,16 @@ def split_classes(low: int, num: int, den: int) -> int:
     return 0 if low < 8 else max(1, low * (den - num) // den)
 
 
-def keys(s: np.ndarray, hot: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Index keys of a set, such that linked sets share one."""
+def keys(s: np.ndarray, hot: np.ndarray, num: int, den: int) -> tuple[np.ndarray, int]:
+    """Index keys of a set, such that linked sets share one, and how many frequent shingles its plain prefix holds.
+
+    Keys of single rare shingles are even, the others odd.
+    """
     n = len(s)
     miss = n - (-(-num * n // den))  # shingles of s that a linked set may lack
     frequent = hot[(s >> _U(64 - COUNTERS_BITS)).astype(np.int64)]
     rare, often = s[~frequent], s[frequent]
-    out = [mix(rare[: miss + 1] ^ _U(0xA5A5A5A5A5A5A5A5))]
+    single, out = mix(rare[: miss + 1] ^ _U(0xA5A5A5A5A5A5A5A5)) & ~_U(1), []
     if len(rare) <= miss and len(often):
         c, low, below = classes(n, num, den)
         for cls, bound in ((c, low), (c - 1, below)):
@@ -90,7 +93,8 @@ def keys(s: np.ndarray, hot: np.ndarray, num: int, den: int) -> np.ndarray:
                 if not len(first):
                     break
                 out.append(mix(mix(part[first] + salt) + part[first + step] * _U(0x9FB21C651E98DF25)))
-    return np.unique(np.concatenate(out))
+    odd = np.unique(np.concatenate(out)) | _U(1) if out else single[:0]
+    return np.concatenate([np.unique(single), odd]), max(0, min(miss + 1 - len(rare), len(often)))
 
 
 def _first_pass(docs: DataFrame, k: int) -> DataFrame:
@@ -145,30 +149,34 @@ def frequent_counters(first: DataFrame) -> np.ndarray:
 
 
 def _index(docs: DataFrame, hot: np.ndarray, k: int, num: int, den: int) -> DataFrame:
-    """key, node: the index entries of every document."""
+    """key, node, f: the index entries of every document; f is the number of frequent shingles in its plain prefix."""
     sent = docs.sparkSession.sparkContext.broadcast(hot)
-    schema = pa.schema([("key", pa.int64()), ("node", pa.int64())])
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("f", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = sent.value
         for batch in batches:
             done: set[int] = set()
             for _, sets in sets_of(batch.column(1), k):
-                found, nodes = [], []
+                found, nodes, often = [], [], []
                 for s in sets:
                     if len(s) and (d := digest(s)) not in done:
                         done.add(d)
-                        found.append(keys(s, hot, num, den))
+                        own, f = keys(s, hot, num, den)
+                        found.append(own)
                         nodes.append(d)
+                        often.append(f)
                 if found:
-                    cols = np.concatenate(found).view(np.int64), np.repeat(np.array(nodes, np.int64), list(map(len, found)))
+                    each = list(map(len, found))
+                    cols = np.concatenate(found).view(np.int64), np.repeat(np.array(nodes, np.int64), each), np.repeat(np.array(often, np.int32), each)
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], schema=schema)
 
-    return docs.mapInArrow(run, "key long, node long")
+    return docs.mapInArrow(run, "key long, node long, f int")
 
 
-def _sources(docs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The documents (one for each node, its smallest id) whose sets may be compared."""
+def _sources(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The documents (one for each node, its smallest id) whose sets the pairs compare."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     reps = rows.where("node is not null").groupBy("node").agg(F.min("i").alias("i")).join(nodes, "node").select("i")
     reps = cut(reps.distinct())
     if reps.count() > NEEDED_IDS:
@@ -283,47 +291,68 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k
 
 def _links(docs: DataFrame, rows: DataFrame, index: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """a, b: links between nodes; every linked pair is connected by them, though not each has its own row."""
-    # Keys with more than one node, each with a leader; these sums combine before the shuffle.
-    live = cut(_leaders(index))
-    members = cut(index.join(small(live), "key").where("node <> lead").distinct())
-    nodes = members.select("node").union(members.select("lead")).distinct()
-    sources = _sources(docs, rows, nodes)
+    # Keys with more than one node; these sums combine before the shuffle.
+    live = index.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("key")
+    entries = cut(index.join(small(cut(live)), "key").distinct())
+    # Of a set's plain prefix, only shingles in live keys and frequent ones can be shared: an upper bound for all links.
+    bound = entries.groupBy("node").agg((F.sum((F.col("key") % 2 == 0).cast("int")) + F.max("f")).alias("ub"))
+    about = cut(bound.join(rows.where("node is not null").select("node", "n").distinct(), "node").select("node", F.struct("n", "ub").alias("s")))
+    entries = cut(entries.join(about, "node").select("key", "node", "s"))
+    lead_about = about.withColumnsRenamed({"node": "lead", "s": "ls"})
     reach = 1 - num / den + 2e-3  # shares may be a little high
 
-    found, near, active = [], [], members
+    def most(x: str, y: str):
+        """The greatest share that sizes and bounds allow: shingles behind the prefixes, and those they can share."""
+        own = lambda v: F.ceil(num * F.col(f"{v}.n") / den)
+        common = F.least(F.col(f"{x}.n"), F.col(f"{y}.n"), F.least(F.col(f"{x}.ub"), F.col(f"{y}.ub")) + F.greatest(own(x), own(y)) - 1)
+        return common, F.col(f"{x}.n") + F.col(f"{y}.n") - common
+
+    def may_link(x: str, y: str):
+        common, union = most(x, y)
+        return den * common >= num * union
+
+    found, near = [], []
+    active = _with_leaders(entries, lead_about)
     for turn in range(LEADERS):
-        pairs = active.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-        seen = _compare(pairs, sources, k, num, den)
+        # The bounds alone tell most pairs apart.
+        active = cut(active)
+        common, union = most("s", "ls")
+        fits = active.where(may_link("s", "ls"))
+        pairs = cut(fits.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())
+        seen = _compare(pairs, _sources(docs, rows, pairs), k, num, den)
         found.append(seen.where("linked").select("a", "b"))
-        told = cut(active.join(seen.withColumnsRenamed({"a": "lead", "b": "node"}), ["lead", "node"]))
-        missed = told.where("not linked").select("key", "node", "share")
+        told = active.join(seen.withColumnsRenamed({"a": "lead", "b": "node"}), ["lead", "node"], "left")
+        told = cut(told.select("key", "node", "s", F.coalesce("linked", F.lit(False)).alias("linked"), F.coalesce("share", F.lit(0.0)).alias("low"), F.coalesce("share", common / union).alias("high")))
+        missed = told.where("not linked").drop("linked")
         # A node that linked the leader may still link one that missed it by little.
-        ends = missed.groupBy("key").agg(F.max("share").alias("most"))
-        close = told.where("linked").join(ends, "key").where(F.col("share") - F.col("most") <= reach)
-        near.append((close.select("key", "node", "share"), missed, "a.share - b.share"))
-        active = cut(missed.drop("share").join(_leaders(missed), "key").where("node <> lead"))
+        ends = missed.groupBy("key").agg(F.max("high").alias("most"))
+        close = told.where("linked").join(ends, "key").where(F.col("low") - F.col("most") <= reach).drop("linked", "most")
+        near.append((close, missed))
+        active = cut(_with_leaders(missed.select("key", "node", "s"), lead_about))
         if not active.limit(1).count():
             break
         if turn == LEADERS - 1:
-            near.append((missed, missed, "abs(a.share - b.share)"))
+            near.append((missed, missed))
 
     label = cut(connected_components(reduce(DataFrame.union, found)))
     more = []
-    for left, right, gap in near:
-        a = left.join(label, "node", "left").select("key", "node", "share", F.coalesce("component", "node").alias("c")).alias("a")
-        b = right.join(label, "node", "left").select("key", "node", "share", F.coalesce("component", "node").alias("c")).alias("b")
-        both = a.join(b, F.expr("a.key = b.key and a.c <> b.c and a.node <> b.node") & (F.expr(gap) <= reach))
-        more.append(both.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")))
+    for left, right in near:
+        a = left.join(label, "node", "left").withColumn("c", F.coalesce("component", "node")).select([F.col(c).alias(f"{c}1") for c in ("key", "node", "s", "low", "high", "c")])
+        b = right.join(label, "node", "left").withColumn("c", F.coalesce("component", "node")).select([F.col(c).alias(f"{c}2") for c in ("key", "node", "s", "low", "high", "c")])
+        far = (F.col("low1") - F.col("high2") > reach) | (F.col("low2") - F.col("high1") > reach)
+        both = a.join(b, F.expr("key1 = key2 and c1 <> c2") & ~far & may_link("s1", "s2"))
+        more.append(both.select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")))
     late = cut(reduce(DataFrame.union, more).distinct())
     if late.limit(1).count():
-        found.append(_compare(late, sources, k, num, den).where("linked").select("a", "b"))
+        found.append(_compare(late, _sources(docs, rows, late), k, num, den).where("linked").select("a", "b"))
     return reduce(DataFrame.union, found)
 
 
-def _leaders(entries: DataFrame) -> DataFrame:
-    """key, lead: the smallest node of each key that has more than one."""
-    both = entries.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last"))
-    return both.where("lead <> last").select("key", "lead")
+def _with_leaders(entries: DataFrame, lead_about: DataFrame) -> DataFrame:
+    """Entries (key, node, s) of keys that have more than one node, each with its key's leader: the node of the greatest bound."""
+    lead = entries.groupBy("key").agg(F.max(F.struct("s.ub", "node")).alias("l"), F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
+    lead = lead.select("key", F.col("l.node").alias("lead")).join(lead_about, "lead")
+    return entries.join(lead, "key").where("node <> lead")
 
 
 def one_of_each(docs: DataFrame, *, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
