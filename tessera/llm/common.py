@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import atexit
-import os
 import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tessera.session import ship  # noqa: F401  (operators take it from here)
+
 #: Rows up to which a side of a join may be broadcast; a larger side is shuffled.
 BROADCAST_ROWS = 50_000
 
@@ -51,18 +51,6 @@ def _remove_own() -> None:
         shutil.rmtree(d, ignore_errors=True)
 
 
-def ship(spark: SparkSession) -> None:
-    """Lets Python workers import this package: where they would not find it by themselves, it is sent to them once."""
-    root = Path(__file__).resolve().parents[2]
-    sc = spark.sparkContext
-    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_tessera_shipped", False):
-        return
-    d = tempfile.mkdtemp(prefix="tessera-")  # read by executors as long as the driver runs
-    _own_dirs.append(d)
-    sc.addPyFile(shutil.make_archive(f"{d}/tessera-package", "zip", root, "tessera"))
-    sc._tessera_shipped = True
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Computes df once and cuts its lineage in the shared folder, so that a lost executor costs no recomputation."""
     shared_dir(df.sparkSession)

@@ -63,7 +63,7 @@ class Encoder:
     tokens, take the library's own way. Files of another make take that way always.
     """
 
-    WORDS_KEPT = 300_000
+    WORDS_KEPT = 120_000
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
