@@ -40,6 +40,9 @@ def features(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     """
     rarity = [c for c in ("name_idf", "name_avg_idf", "address_idf") if c in left.columns and c in right.columns]
     d = with_records(pairs, left, right, RECORD + rarity)
+    # Similarities cost time, not bytes: small data would be coalesced into one task.
+    spark = pairs.sparkSession
+    d = d.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "entity_id_s1", "entity_id_other")
     texts = [c for c in RECORD if not c.endswith(("tokens", "numbers"))]
     lists = [c for c in RECORD if c.endswith(("tokens", "numbers"))]
     d = d.withColumns({f"{c}_{s}": F.coalesce(f"{c}_{s}", F.lit("")) for c in texts for s in ("s1", "other")} | {f"{c}_{s}": F.coalesce(f"{c}_{s}", F.array().cast("array<string>")) for c in lists for s in ("s1", "other")})
