@@ -3,20 +3,51 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.session import ship  # noqa: F401  (operators take it from here)
+from tessera import session
 
 #: Rows up to which a side of a join may be broadcast; a larger side is shuffled.
 BROADCAST_ROWS = 50_000
+#: Bytes of one Arrow batch, where the session's own settings do not say; a longer text is a batch of its own.
+BATCH_BYTES = 8 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _own_dirs: list[str] = []
 
 
+def ship(spark: SparkSession) -> None:
+    """Lets Python workers import this package, and bounds what they and the JVM hold of a partition at a time."""
+    session.ship(spark)
+    if not spark.sparkContext.getConf().contains(_BATCH_KEY):
+        spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
+
+
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, whose worker gives its free memory back to the system at the end of a task instead of keeping it for the next."""
+
+    @functools.wraps(run)
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # not glibc
+                pass
+
+    return inner
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: spark.checkpoint.dir, or an own one where that is unset."""
     sc = spark.sparkContext

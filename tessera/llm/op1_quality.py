@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import ship
+from tessera.llm.common import frugal, ship
 from tessera.llm.kernels import LOWER, NOT_SPACE, mix, prefix_hashes, slices, span_hashes, utf8, word_bounds
 
 #: Labelled rows that a model is fitted on at most: those of the smallest hashes of their ids.
@@ -186,7 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample_
                 yield pa.RecordBatch.from_arrays([keys, pa.array(packed, pa.binary())], schema=schema)
 
     picked = docs.select(F.col("doc_id").cast("long").alias("k"), F.col("text").cast("string").alias("t")).where("k is not null")
-    got = picked.mapInArrow(run, "k long, f binary").toArrow().sort_by([("k", "ascending")])
+    got = picked.mapInArrow(frugal(run), "k long, f binary").toArrow().sort_by([("k", "ascending")])
     # repeated rows of one document: as many as the table holds, in an order of their own content
     pairs = sorted(zip(got.column("k").to_pylist(), got.column("f").to_pylist()))
     rows = [np.frombuffer(f, "<u4").astype(np.int64) for _, f in pairs]
@@ -209,7 +209,7 @@ def score(docs: DataFrame, model: Model, *, accept: float = ACCEPT) -> DataFrame
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sent.value.scores(batch.column(1)))], schema=_OUT)
 
-    scored = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double")
+    scored = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(frugal(run), "doc_id long, score double")
     held = F.coalesce(is_held_out(F.col("doc_id")), F.lit(False))
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= accept).cast("int").alias("predicted"))
 
@@ -225,4 +225,4 @@ def accepted(docs: DataFrame, model: Model, *, accept: float = ACCEPT) -> DataFr
 
     kinds = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}
     own = docs.select(*(F.col(c).cast(k) for c, k in kinds.items()))
-    return own.mapInArrow(run, ", ".join(f"{c} {k}" for c, k in kinds.items()))
+    return own.mapInArrow(frugal(run), ", ".join(f"{c} {k}" for c, k in kinds.items()))

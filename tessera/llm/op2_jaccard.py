@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import connected_components, cut, ship, small
+from tessera.llm.common import connected_components, cut, frugal, ship, small
 from tessera.llm.kernels import NOT_SPACE, mix, shingle_sets, slices, utf8, words_of
 
 _U = np.uint64
@@ -119,7 +119,7 @@ def _first_pass(docs: DataFrame, k: int) -> DataFrame:
         none, salt = pa.nulls(len(some)).cast(pa.int64()), TaskContext.get().partitionId() % 64
         yield pa.RecordBatch.from_arrays([none, none, none, pa.array(some, pa.int32()), pa.array([salt] * len(some), pa.int32()), pa.array([_pack(parts[j]) for j in some], pa.binary())], schema=schema)
 
-    return docs.mapInArrow(run, "i long, n long, node long, block int, salt int, counts binary")
+    return docs.mapInArrow(frugal(run), "i long, n long, node long, block int, salt int, counts binary")
 
 
 def _pack(counts: np.ndarray) -> bytes:
@@ -171,41 +171,41 @@ def _index(docs: DataFrame, hot: np.ndarray, k: int, num: int, den: int) -> Data
                     cols = np.concatenate(found).view(np.int64), np.repeat(np.array(nodes, np.int64), each), np.repeat(np.array(often, np.int32), each)
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], schema=schema)
 
-    return docs.mapInArrow(run, "key long, node long, f int")
+    return docs.mapInArrow(frugal(run), "key long, node long, f int")
 
 
-def _sources(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The documents (one for each node, its smallest id) whose sets the pairs compare."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _sources(docs: DataFrame, rows: DataFrame, nodes: DataFrame) -> tuple[DataFrame, np.ndarray | None]:
+    """The documents (one for each node, its smallest id) whose sets are compared: a table with them, and their ids where those are few."""
     reps = rows.where("node is not null").groupBy("node").agg(F.min("i").alias("i")).join(nodes, "node").select("i")
     reps = cut(reps.distinct())
     if reps.count() > NEEDED_IDS:
-        return docs.join(reps.withColumnRenamed("i", "r"), F.col("i").eqNullSafe(F.col("r")), "left_semi")
-    ids = reps.where("i is not null").toArrow().column("i")
-    sent = docs.sparkSession.sparkContext.broadcast(np.sort(np.array(ids, np.int64)))
+        return docs.join(reps.withColumnRenamed("i", "r"), F.col("i").eqNullSafe(F.col("r")), "left_semi"), None
+    return docs, np.sort(np.array(reps.where("i is not null").toArrow().column("i"), np.int64))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0)
-            wanted = np.isin(ids.fill_null(0).to_numpy(zero_copy_only=False), sent.value) | ids.is_null().to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(wanted))
 
-    return docs.mapInArrow(run, "i long, t string")
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
 
 
-def _sets(sources: DataFrame, k: int, width: int) -> DataFrame:
+def _sets(sources: tuple[DataFrame, np.ndarray | None], k: int, width: int) -> DataFrame:
     """node, items: packed sets, of each shingle the first width bytes in ascending order. Read again from the texts, not stored."""
     schema = pa.schema([("node", pa.int64()), ("items", pa.binary())])
+    docs, ids = sources
+    sent = docs.sparkSession.sparkContext.broadcast(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if sent.value is not None:
+                i = batch.column(0)
+                wanted = np.isin(i.fill_null(0).to_numpy(zero_copy_only=False), sent.value) | i.is_null().to_numpy(zero_copy_only=False)
+                batch = batch.filter(pa.array(wanted))
             for _, sets in sets_of(batch.column(1), k):
                 own = [s for s in sets if len(s)]
                 if own:
                     packed = [s.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes() for s in own]
                     yield pa.RecordBatch.from_arrays([pa.array([digest(s) for s in own], pa.int64()), pa.array(packed, pa.binary())], schema=schema)
 
-    return sources.mapInArrow(run, "node long, items binary")
+    return docs.mapInArrow(frugal(run), "node long, items binary")
 
 
 def unpacked(packed: bytes | memoryview, width: int) -> np.ndarray:
@@ -255,7 +255,7 @@ def _compare(pairs: DataFrame, sources: DataFrame, k: int, num: int, den: int) -
     def compared(pairs: DataFrame, width: int) -> DataFrame:
         sets = _sets(sources, k, width)
         j = pairs.join(sets.withColumnsRenamed({"node": "b", "items": "y"}), "b").join(sets.withColumnsRenamed({"node": "a", "items": "x"}), "a")
-        return j.select("a", "b", "x", "y").mapInArrow(with_width(width), "a long, b long, sure boolean, linked boolean, share double").distinct()
+        return j.select("a", "b", "x", "y").mapInArrow(frugal(with_width(width)), "a long, b long, sure boolean, linked boolean, share double").distinct()
 
     quick = cut(compared(pairs, 3))
     again = cut(quick.where("not sure").select("a", "b"))
@@ -319,7 +319,7 @@ def _links(docs: DataFrame, rows: DataFrame, index: DataFrame, k: int, num: int,
         common, union = most("s", "ls")
         fits = active.where(may_link("s", "ls"))
         pairs = cut(fits.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())
-        seen = _compare(pairs, _sources(docs, rows, pairs), k, num, den)
+        seen = _compare(pairs, _sources(docs, rows, _ends(pairs)), k, num, den)
         found.append(seen.where("linked").select("a", "b"))
         told = active.join(seen.withColumnsRenamed({"a": "lead", "b": "node"}), ["lead", "node"], "left")
         told = cut(told.select("key", "node", "s", F.coalesce("linked", F.lit(False)).alias("linked"), F.coalesce("share", F.lit(0.0)).alias("low"), F.coalesce("share", common / union).alias("high")))
@@ -344,7 +344,7 @@ def _links(docs: DataFrame, rows: DataFrame, index: DataFrame, k: int, num: int,
         more.append(both.select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")))
     late = cut(reduce(DataFrame.union, more).distinct())
     if late.limit(1).count():
-        found.append(_compare(late, _sources(docs, rows, late), k, num, den).where("linked").select("a", "b"))
+        found.append(_compare(late, _sources(docs, rows, _ends(late)), k, num, den).where("linked").select("a", "b"))
     return reduce(DataFrame.union, found)
 
 
