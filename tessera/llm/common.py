@@ -88,6 +88,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _plain(df: DataFrame) -> DataFrame:
+    """A cut table without the size estimate of its origin: estimates of joins are products, and those of rounds of joins
+    grow to numbers that hold up the planner."""
+    session, own = df.sparkSession, df._jdf
+    return DataFrame(session._jsparkSession.internalCreateDataFrame(own.queryExecution().toRdd(), own.schema(), False), session)
+
+
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """df marked for broadcast if it has at most limit rows, else as it is, for a shuffled join."""
     if df.limit(limit + 1).count() <= limit:
@@ -102,9 +109,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Nodes without an edge do not appear. Each round hooks every tree on the smallest neighbouring label and
     halves the paths, so that rounds grow with the logarithm of a component's diameter.
     """
-    edges = cut(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    edges = _plain(cut(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))
     both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
+    labels = _plain(cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component"))))
     while True:
         # every node takes the smallest label among its neighbours and itself, then the label of that label
         lab = labels.select(F.col("node").alias("b"), F.col("component").alias("lb"))
@@ -114,7 +121,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         hook = step.groupBy(F.col("component").alias("node")).agg(F.min("next").alias("hooked"))
         step = step.join(hook, "node", "left").select("node", "component", F.least("next", F.coalesce("hooked", "next")).alias("next"))
         jump = step.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        step = cut(step.join(jump, "next", "left").select("node", "component", F.least("next", F.coalesce("far", "next")).alias("next")))
+        step = _plain(cut(step.join(jump, "next", "left").select("node", "component", F.least("next", F.coalesce("far", "next")).alias("next"))))
         changed = step.where("component <> next").limit(1).count()
         labels = step.select("node", F.col("next").alias("component"))
         if not changed:

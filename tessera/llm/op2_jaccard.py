@@ -32,6 +32,10 @@ COUNTERS_BITS, BLOCK = 18, 4096
 NEEDED_IDS = 4_000_000
 #: Rounds of leaders before the rest of a key is compared directly.
 LEADERS = 3
+#: Shingles and sets of a group of pairs that one call compares, in the mean; a longer set stands with what it meets.
+GROUP_ITEMS, GROUP_NODES = 1 << 19, 512
+#: Rows (set, group) up to which they are broadcast (16 bytes each); more are joined by a shuffle.
+NEEDS_ROWS = 200_000
 
 
 def sets_of(column: pa.Array, k: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -183,10 +187,6 @@ def _sources(docs: DataFrame, rows: DataFrame, nodes: DataFrame) -> tuple[DataFr
     return docs, np.sort(np.array(reps.where("i is not null").toArrow().column("i"), np.int64))
 
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-
-
 def _sets(sources: tuple[DataFrame, np.ndarray | None], k: int, width: int) -> DataFrame:
     """node, items: packed sets, of each shingle the first width bytes in ascending order. Read again from the texts, not stored."""
     schema = pa.schema([("node", pa.int64()), ("items", pa.binary())])
@@ -228,8 +228,20 @@ def shared(x: np.ndarray, y: np.ndarray) -> int:
     return int((c[1:] == c[:-1]).sum())
 
 
-def _compare(pairs: DataFrame, sources: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """a, b, linked, share (Jaccard, at most 1e-3 too high where not linked) of distinct pairs.
+def _dealt(pairs: DataFrame) -> DataFrame:
+    """pairs (a, na, b, nb, hub) with a group g of bounded size: pairs of one hub meet in one group, so that a set is sent
+    to few groups, whatever the number of its pairs. Hubs with too much for a group are dealt out in blocks against
+    blocks; small ones share groups."""
+    ends = pairs.select("hub", F.col("a").alias("node"), F.col("na").alias("n")).union(pairs.select("hub", "b", "nb")).distinct()
+    sizes = cut(ends.groupBy("hub").agg(F.sum("n").alias("items"), F.ceil(F.greatest(F.sum("n") / GROUP_ITEMS, F.count("*") / GROUP_NODES)).alias("parts")))
+    bundles = F.lit(1 + sizes.agg(F.coalesce(F.sum("items"), F.lit(0))).first()[0] // GROUP_ITEMS)
+    p, q = (F.pmod(F.xxhash64(c), F.col("parts")) for c in "ab")
+    alone = F.xxhash64("hub", F.least(p, q), F.greatest(p, q))
+    return pairs.join(small(sizes), "hub").select("a", "b", F.when(F.col("parts") > 1, alone).otherwise(F.pmod(F.xxhash64("hub"), bundles)).alias("g"))
+
+
+def _compare(pairs: DataFrame, docs: DataFrame, rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """a, b, linked, share (Jaccard, at most 1e-3 too high where not linked) of distinct pairs (a, na, b, nb, hub).
 
     Three bytes of each shingle are compared first. They count every common shingle and some by chance, n * m / 2^24
     in the mean. Where chance could tip the scale, the pair is compared again by whole shingles.
@@ -237,28 +249,33 @@ def _compare(pairs: DataFrame, sources: DataFrame, k: int, num: int, den: int) -
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sure", pa.bool_()), ("linked", pa.bool_()), ("share", pa.float64())])
 
     def with_width(width: int):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                out = []
-                for a, b, x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
-                    x, y = unpacked(x.as_buffer(), width), unpacked(y.as_buffer(), width)
-                    most, size = shared(x, y), len(x) + len(y)
-                    chance = len(x) * len(y) / (1 << 24)
-                    least = most if width == 8 else max(0, most - int(chance + 8 * chance**0.5 + 6))
-                    high, low = (den * c >= num * (size - c) for c in (most, least))
-                    out.append((a, b, high == low, low, most / (size - most) if size > most else 1.0))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+        def run(table: pa.Table) -> pa.Table:
+            sets = table.filter(table.column("b").is_null())
+            packed = dict(zip(sets.column("a").to_pylist(), (v for c in sets.column("items").chunks for v in c)))
+            own, last, out = table.select(["a", "b"]).filter(table.column("b").is_valid()).sort_by("a"), None, []
+            for a, b in zip(own.column("a").to_pylist(), own.column("b").to_pylist()):
+                if a != last:
+                    last, x = a, unpacked(packed[a].as_buffer(), width)
+                y = unpacked(packed[b].as_buffer(), width)
+                most, size = shared(x, y), len(x) + len(y)
+                chance = len(x) * len(y) / (1 << 24)
+                least = most if width == 8 else max(0, most - int(chance + 8 * chance**0.5 + 6))
+                high, low = (den * c >= num * (size - c) for c in (most, least))
+                out.append((a, b, high == low, low, most / (size - most) if size > most else 1.0))
+            return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [()] * 5, schema)], schema=schema)
 
         return run
 
     def compared(pairs: DataFrame, width: int) -> DataFrame:
-        sets = _sets(sources, k, width)
-        j = pairs.join(sets.withColumnsRenamed({"node": "b", "items": "y"}), "b").join(sets.withColumnsRenamed({"node": "a", "items": "x"}), "a")
-        return j.select("a", "b", "x", "y").mapInArrow(frugal(with_width(width)), "a long, b long, sure boolean, linked boolean, share double").distinct()
+        pairs = cut(_dealt(pairs))
+        needs = pairs.select("g", F.col("a").alias("node")).union(pairs.select("g", "b")).distinct()
+        sets = _sets(_sources(docs, rows, needs.select("node").distinct()), k, width).join(small(cut(needs), NEEDS_ROWS), "node")
+        # one table of pairs and sets: the planner's size estimate of a cogroup is a product, which grows without end
+        both = pairs.select("g", "a", "b", F.lit(None).cast("binary").alias("items")).union(sets.select("g", "node", F.lit(None).cast("long"), "items"))
+        return both.groupBy("g").applyInArrow(with_width(width), "a long, b long, sure boolean, linked boolean, share double")
 
     quick = cut(compared(pairs, 3))
-    again = cut(quick.where("not sure").select("a", "b"))
+    again = cut(pairs.join(small(cut(quick.where("not sure").select("a", "b"))), ["a", "b"]))
     quick = quick.where("sure").select("a", "b", "linked", "share")
     if not again.limit(1).count():
         return quick
@@ -318,11 +335,11 @@ def _links(docs: DataFrame, rows: DataFrame, index: DataFrame, k: int, num: int,
         active = cut(active)
         common, union = most("s", "ls")
         fits = active.where(may_link("s", "ls"))
-        pairs = cut(fits.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())
-        seen = _compare(pairs, _sources(docs, rows, _ends(pairs)), k, num, den)
+        pairs = fits.select(F.col("lead").alias("a"), F.col("ls.n").alias("na"), F.col("node").alias("b"), F.col("s.n").alias("nb")).distinct()
+        seen = _compare(cut(pairs.withColumn("hub", F.col("a"))), docs, rows, k, num, den)
         found.append(seen.where("linked").select("a", "b"))
         told = active.join(seen.withColumnsRenamed({"a": "lead", "b": "node"}), ["lead", "node"], "left")
-        told = cut(told.select("key", "node", "s", F.coalesce("linked", F.lit(False)).alias("linked"), F.coalesce("share", F.lit(0.0)).alias("low"), F.coalesce("share", common / union).alias("high")))
+        told = cut(told.select("key", "lead", "node", "s", F.coalesce("linked", F.lit(False)).alias("linked"), F.coalesce("share", F.lit(0.0)).alias("low"), F.coalesce("share", common / union).alias("high")))
         missed = told.where("not linked").drop("linked")
         # A node that linked the leader may still link one that missed it by little.
         ends = missed.groupBy("key").agg(F.max("high").alias("most"))
@@ -337,14 +354,15 @@ def _links(docs: DataFrame, rows: DataFrame, index: DataFrame, k: int, num: int,
     label = cut(connected_components(reduce(DataFrame.union, found)))
     more = []
     for left, right in near:
-        a = left.join(label, "node", "left").withColumn("c", F.coalesce("component", "node")).select([F.col(c).alias(f"{c}1") for c in ("key", "node", "s", "low", "high", "c")])
+        a = left.join(label, "node", "left").withColumn("c", F.coalesce("component", "node")).select([F.col(c).alias(f"{c}1") for c in ("key", "lead", "node", "s", "low", "high", "c")])
         b = right.join(label, "node", "left").withColumn("c", F.coalesce("component", "node")).select([F.col(c).alias(f"{c}2") for c in ("key", "node", "s", "low", "high", "c")])
         far = (F.col("low1") - F.col("high2") > reach) | (F.col("low2") - F.col("high1") > reach)
         both = a.join(b, F.expr("key1 = key2 and c1 <> c2") & ~far & may_link("s1", "s2"))
-        more.append(both.select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")))
-    late = cut(reduce(DataFrame.union, more).distinct())
+        ends = F.struct(F.col("node1").alias("v"), F.col("s1.n").alias("n")), F.struct(F.col("node2").alias("v"), F.col("s2.n").alias("n"))
+        more.append(both.select(F.least(*ends).alias("x"), F.greatest(*ends).alias("y"), F.col("lead1").alias("hub")).select(F.col("x.v").alias("a"), F.col("x.n").alias("na"), F.col("y.v").alias("b"), F.col("y.n").alias("nb"), "hub"))
+    late = cut(reduce(DataFrame.union, more).groupBy("a", "na", "b", "nb").agg(F.min("hub").alias("hub")))
     if late.limit(1).count():
-        found.append(_compare(late, _sources(docs, rows, _ends(late)), k, num, den).where("linked").select("a", "b"))
+        found.append(_compare(late, docs, rows, k, num, den).where("linked").select("a", "b"))
     return reduce(DataFrame.union, found)
 
 
