@@ -66,7 +66,11 @@ def test_index_keys_lose_no_link():
             assert len(np.intersect1d(op2_jaccard.keys(x, hot, 85, 100)[0], op2_jaccard.keys(y, hot, 85, 100)[0]))
 
 
-def test_groups_by_brute_force(spark):
+@pytest.mark.parametrize("items, needs", [(1 << 19, 200_000), (64, 0)])
+def test_groups_by_brute_force(spark, monkeypatch, items, needs):
+    """With groups of pairs that all fit, and with hubs dealt out in blocks and sets joined by a shuffle."""
+    monkeypatch.setattr(op2_jaccard, "GROUP_ITEMS", items)
+    monkeypatch.setattr(op2_jaccard, "NEEDS_ROWS", needs)
     rng = random.Random(4)
     base = [[f"w{rng.randint(0, 400)}" for _ in range(rng.randint(3, 90))] for _ in range(6)]
     texts = []
