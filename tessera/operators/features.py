@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.functions import pairs as P
-from tessera.functions.similarity import similarities
+from tessera.functions.similarity import KINDS, similarities
 
 #: Columns of a normalised record that features read.
 RECORD = ["name_norm", "name_alnum", "name_core", "name_compact", "name_tokens", "name_sorted", "name_numbers", "address_alnum", "address_tokens", "address_numbers", "address_postal", "country_norm"]
@@ -33,10 +35,11 @@ def with_records(pairs: DataFrame, left: DataFrame, right: DataFrame, columns: l
     return pairs.join(side(left, "s1"), "entity_id_s1", "left").join(side(right, "other"), "entity_id_other", "left")
 
 
-def features(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+def features(pairs: DataFrame, left: DataFrame, right: DataFrame, only: Sequence[str] | None = None) -> DataFrame:
     """The two ids, 51 numeric features, and the pairs' found_by_* flags with n_blocking_rules where they have them.
 
-    left and right are normalised records, with rarity (with_rarity for name and address) where it is to count.
+    left and right are normalised records, with rarity (with_rarity for name and address) where it is to count. only
+    names the features to be made where few are wanted: some similarities are slow on long texts.
     """
     rarity = [c for c in ("name_idf", "name_avg_idf", "address_idf") if c in left.columns and c in right.columns]
     d = with_records(pairs, left, right, RECORD + rarity)
@@ -47,7 +50,8 @@ def features(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     lists = [c for c in RECORD if c.endswith(("tokens", "numbers"))]
     d = d.withColumns({f"{c}_{s}": F.coalesce(f"{c}_{s}", F.lit("")) for c in texts for s in ("s1", "other")} | {f"{c}_{s}": F.coalesce(f"{c}_{s}", F.array().cast("array<string>")) for c in lists for s in ("s1", "other")})
     x, y = (lambda c: F.col(f"{c}_s1")), (lambda c: F.col(f"{c}_other"))
-    d = d.withColumns({"_name": similarities(x("name_alnum"), y("name_alnum")), "_core": similarities(x("name_core"), y("name_core"), "ratio"), "_addr": similarities(x("address_alnum"), y("address_alnum"), "ratio", "wratio", "token_sort_ratio", "token_set_ratio", "token_ratio", "partial_ratio")})
+    kinds = lambda p, of: [k for k in of if only is None or f"{p}_{k}" in only or k == "ratio"]
+    d = d.withColumns({"_name": similarities(x("name_alnum"), y("name_alnum"), *kinds("name", KINDS)), "_core": similarities(x("name_core"), y("name_core"), "ratio"), "_addr": similarities(x("address_alnum"), y("address_alnum"), *kinds("addr", ("ratio", "wratio", "token_sort_ratio", "token_set_ratio", "token_ratio", "partial_ratio")))})
     both = lambda f, c: f(x(c), y(c))
     no_map = F.expr("map_from_arrays(array(), array())").cast("map<string,double>")
     idf = lambda p: F.coalesce(x(f"{p}_idf"), no_map) if f"{p}_idf" in rarity else no_map
@@ -103,7 +107,7 @@ def features(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
         "is_source3": F.col("entity_id_other").startswith("S3-").cast("int"),
     }
     kept = [c for c in pairs.columns if c.startswith("found_by_") or c == "n_blocking_rules"]
-    return d.select("entity_id_s1", "entity_id_other", *(c.alias(k) for k, c in out.items()), *kept)
+    return d.select("entity_id_s1", "entity_id_other", *(c.alias(k) for k, c in out.items() if only is None or k in only), *kept)
 
 
 def feature_columns(df: DataFrame) -> list[str]:

@@ -9,6 +9,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+#: Features that the rule reads.
+RULE_COLUMNS = ("name_token_sort_ratio", "addr_token_sort_ratio", "name_exact_compact_match", "addr_number_exact_seq")
+
+
 def rule_score() -> Column:
     """0.5 name order-free ratio + 0.3 address order-free ratio + 0.2 of exact forms, within 0 and 1."""
     exact = 0.6 * F.col("name_exact_compact_match") + 0.4 * F.col("addr_number_exact_seq")

@@ -2,23 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tessera.functions.text import LEGAL_SUFFIXES
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """entity_id, business_name, business_address, country, h of every document; doc_id mod 3 says the source."""
+def _view(spark: SparkSession, sf_dir: str, name: Column, address: Column) -> DataFrame:
     k = F.col("doc_id") % 3
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(
         F.concat(F.lit("S"), (k + 1).cast("string"), F.lit("-"), F.col("doc_id").cast("string")).alias("entity_id"),
-        F.substring("text", 1, 60).alias("business_name"),
-        F.substring("text", 61, 80).alias("business_address"),
+        name.alias("business_name"),
+        address.alias("business_address"),
         F.col("lang").alias("country"),
         F.md5("text").alias("h"),
     )
 
 
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """entity_id, business_name, business_address, country, h of every document; doc_id mod 3 says the source.
+
+    Names and addresses are the first 60 and the next 80 characters, as the SQL below cuts them.
+    """
+    return _view(spark, sf_dir, F.substring("text", 1, 60), F.substring("text", 61, 80))
+
+
+def whole_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of the whole text: the first line is the name, all the rest the address."""
+    line = F.substring_index("text", "\n", 1)
+    return _view(spark, sf_dir, line, F.expr("substring(text, length(substring_index(text, '\n', 1)) + 2)"))
+
+
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of source 1 with the others whose whole texts are equal."""
     r = records(spark, sf_dir).select("entity_id", "h")

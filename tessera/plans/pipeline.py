@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.functions.text import normalized
 from tessera.operators import blocking, decide, features, retrieval, sampling
-from tessera.operators.models import PairModel
+from tessera.operators.models import RULE_COLUMNS, PairModel
 from tessera.sources.files import read_json, write_json
 
 
@@ -37,11 +38,11 @@ def candidates(left: DataFrame, right: DataFrame, s: Settings) -> DataFrame:
     return blocking.flagged(found)
 
 
-def feature_table(left: DataFrame, right: DataFrame, s: Settings, idf: dict[str, DataFrame]) -> DataFrame:
+def feature_table(left: DataFrame, right: DataFrame, s: Settings, idf: dict[str, DataFrame], only: Sequence[str] | None = None) -> DataFrame:
     pairs = candidates(left, right, s)
     for side, tokens in (("name", "name_tokens"), ("address", "address_tokens")):
         left, right = (features.with_rarity(d, idf[side], tokens, side) for d in (left, right))
-    return features.features(pairs, left, right)
+    return features.features(pairs, left, right, only)
 
 
 def idf_tables(*records: DataFrame) -> dict[str, DataFrame]:
@@ -57,8 +58,9 @@ def link(left: DataFrame, right: DataFrame, *, model: PairModel | None = None, t
     if max_block is not None:
         s.max_block = max_block
     l, r = normalized(left), normalized(right)
-    table = feature_table(l, r, s, idf or idf_tables(l, r))
-    scores = (model or PairModel("rule", [])).score(table)
+    model = model or PairModel("rule", [])
+    table = feature_table(l, r, s, idf or idf_tables(l, r), RULE_COLUMNS if model.name == "rule" else None)
+    scores = model.score(table)
     return decide.match_lists(decide.decide(scores, threshold, min_gap=min_gap, single_parent=single_parent), left)
 
 

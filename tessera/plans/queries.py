@@ -249,7 +249,10 @@ def pair_features(spark, sf):
 
 @_register("rule_score")
 def rule_score(spark, sf):
-    return models.PairModel("rule", []).score(_feature_table(spark, sf))
+    n = normalized(entities.whole_records(spark, sf))
+    left, right = n.where(F.col("entity_id").startswith("S1-")), n.where(~F.col("entity_id").startswith("S1-"))
+    pairs = blocking.flagged(blocking.pairs_by_rule(left, right, max_block=CAP))
+    return models.PairModel("rule", []).score(features.features(pairs, left, right, models.RULE_COLUMNS))
 
 
 # ---------------------------------------------------------------- retrieval
@@ -490,6 +493,6 @@ _model("boosted", maxDepth=4, maxIter=10)
 def end_to_end(spark, sf):
     from tessera.plans.pipeline import link
 
-    r = entities.records(spark, sf).drop("h")
+    r = entities.whole_records(spark, sf).drop("h")
     left, right = r.where(F.col("entity_id").startswith("S1-")), r.where(~F.col("entity_id").startswith("S1-"))
     return link(left, right, threshold=0.61, max_block=CAP)

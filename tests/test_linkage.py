@@ -131,3 +131,18 @@ def test_stream(spark, tmp_path):
     q = stream_links(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), right, str(tmp_path / "out"), str(tmp_path / "cp"))
     q.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).first().matched_entity_ids == "S2-1"
+
+
+def test_rule_reads_whole_texts(spark, tmp_path):
+    from tessera.plans import entities, queries
+
+    body = "first line, the name\n" + "same words of the rest " * 9
+    texts = [(0, body + "and 75001 here"), (1, body + "and 75001 here"), (2, body + "and 99999 there, with quite another end of the text " * 4), (3, "one line only"), (4, None)]
+    spark.createDataFrame([(i, t, "en") for i, t in texts], "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    r = {x.entity_id: x for x in entities.whole_records(spark, str(tmp_path)).collect()}
+    assert all(f"{r[e].business_name}\n{r[e].business_address}" == texts[i][1] for i, e in ((0, "S1-0"), (1, "S2-1"), (2, "S3-2")))
+    assert (r["S1-3"].business_name, r["S1-3"].business_address, r["S2-4"].business_name) == ("one line only", "", None)
+    scores = {x.entity_id_other: x.score for x in queries.queries()["rule_score"](spark, str(tmp_path)).where("entity_id_s1 = 'S1-0'").collect()}
+    assert scores["S2-1"] == 1 and scores["S3-2"] < 0.9
+    found = {x.source1_entity_id for x in queries.queries()["end_to_end"](spark, str(tmp_path)).collect()}
+    assert found == {"S1-0", "S1-3"}
