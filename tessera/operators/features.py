@@ -50,7 +50,7 @@ def features(pairs: DataFrame, left: DataFrame, right: DataFrame, only: Sequence
     lists = [c for c in RECORD if c.endswith(("tokens", "numbers"))]
     d = d.withColumns({f"{c}_{s}": F.coalesce(f"{c}_{s}", F.lit("")) for c in texts for s in ("s1", "other")} | {f"{c}_{s}": F.coalesce(f"{c}_{s}", F.array().cast("array<string>")) for c in lists for s in ("s1", "other")})
     x, y = (lambda c: F.col(f"{c}_s1")), (lambda c: F.col(f"{c}_other"))
-    kinds = lambda p, of: [k for k in of if only is None or f"{p}_{k}" in only or k == "ratio"]
+    kinds = lambda p, of: [k for k in of if only is None or f"{p}_{k}" in only or k == "ratio" and any(c.startswith("combined_") for c in only)]
     d = d.withColumns({"_name": similarities(x("name_alnum"), y("name_alnum"), *kinds("name", KINDS)), "_core": similarities(x("name_core"), y("name_core"), "ratio"), "_addr": similarities(x("address_alnum"), y("address_alnum"), *kinds("addr", ("ratio", "wratio", "token_sort_ratio", "token_set_ratio", "token_ratio", "partial_ratio")))})
     both = lambda f, c: f(x(c), y(c))
     no_map = F.expr("map_from_arrays(array(), array())").cast("map<string,double>")

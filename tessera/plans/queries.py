@@ -12,6 +12,7 @@ from tessera.functions.text import normalized
 from tessera.operators import audit, blocking, decide, features, models, retrieval, sampling, validate
 from tessera.plans import entities
 
+#: Block size of the queries that are compared with SQL; the others take blocking.MAX_BLOCK.
 CAP = 20
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -46,7 +47,7 @@ def _sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _candidates(spark: SparkSession, sf: str, **kw) -> DataFrame:
-    return blocking.pairs_by_rule(*_sides(spark, sf), max_block=CAP, **kw)
+    return blocking.pairs_by_rule(*_sides(spark, sf), **{"max_block": CAP, **kw})
 
 
 # ---------------------------------------------------------------- records
@@ -170,9 +171,9 @@ def rare_overlap(spark, sf):
 _JOINED = f"{_PAIRS}, j as (select p.*, " + ", ".join(f"a.{c} as {c}_s1, b.{c} as {c}_other" for c in features.RECORD) + " from pairs p join norm a on a.entity_id = p.entity_id_s1 join norm b on b.entity_id = p.entity_id_other)"
 
 
-def _joined(spark, sf, *columns: str) -> DataFrame:
+def _joined(spark, sf, *columns: str, **kw) -> DataFrame:
     n = _norm(spark, sf)
-    return features.with_records(_candidates(spark, sf).select("entity_id_s1", "entity_id_other").distinct(), n, n, list(columns))
+    return features.with_records(_candidates(spark, sf, **kw).select("entity_id_s1", "entity_id_other").distinct(), n, n, list(columns))
 
 
 def _jaccard_sql(c: str) -> str:
@@ -218,8 +219,8 @@ def _plain(c: str):
 
 
 @_register("pair_levenshtein", f"{_JOINED} select entity_id_s1, entity_id_other, round({_LEV}, 6) as similarity from j")
-def pair_levenshtein(spark, sf):
-    d = _joined(spark, sf, "name_alnum")
+def pair_levenshtein(spark, sf, **kw):
+    d = _joined(spark, sf, "name_alnum", **kw)
     return d.select("entity_id_s1", "entity_id_other", F.round(P.levenshtein_similarity(_plain("name_alnum_s1"), _plain("name_alnum_other")), 6).alias("similarity"))
 
 
@@ -231,7 +232,7 @@ def pair_jaro_winkler(spark, sf):
 
 @_register("pair_fuzzy_all")
 def pair_fuzzy_all(spark, sf):
-    d = _joined(spark, sf, "name_alnum", "address_alnum")
+    d = _joined(spark, sf, "name_alnum", "address_alnum", max_block=blocking.MAX_BLOCK)
     name, addr = similarities(F.col("name_alnum_s1"), F.col("name_alnum_other")), similarities(F.col("address_alnum_s1"), F.col("address_alnum_other"))
     return d.select("entity_id_s1", "entity_id_other", name.alias("n"), addr.alias("a")).select("entity_id_s1", "entity_id_other", "n.*", *(F.col(f"a.{k}").alias(f"address_{k}") for k in ("ratio", "wratio", "partial_ratio")))
 
@@ -239,7 +240,7 @@ def pair_fuzzy_all(spark, sf):
 def _feature_table(spark, sf) -> DataFrame:
     n = _rarity(_norm(spark, sf))
     left, right = n.where(F.col("entity_id").startswith("S1-")), n.where(~F.col("entity_id").startswith("S1-"))
-    return features.features(blocking.flagged(blocking.pairs_by_rule(left, right, max_block=CAP)), left, right)
+    return features.features(blocking.flagged(blocking.pairs_by_rule(left, right)), left, right)
 
 
 @_register("pair_features")
@@ -251,7 +252,7 @@ def pair_features(spark, sf):
 def rule_score(spark, sf):
     n = normalized(entities.whole_records(spark, sf))
     left, right = n.where(F.col("entity_id").startswith("S1-")), n.where(~F.col("entity_id").startswith("S1-"))
-    pairs = blocking.flagged(blocking.pairs_by_rule(left, right, max_block=CAP))
+    pairs = blocking.flagged(blocking.pairs_by_rule(left, right))
     return models.PairModel("rule", []).score(features.features(pairs, left, right, models.RULE_COLUMNS))
 
 
@@ -291,8 +292,8 @@ _topk("address_alnum")
 _SCORES = f"{_JOINED}, scores as (select entity_id_s1, entity_id_other, round({_LEV}, 6) as score from j), uni as (select entity_id from ent where entity_id like 'S1-%')"
 
 
-def _scores(spark, sf) -> DataFrame:
-    return pair_levenshtein(spark, sf).withColumnRenamed("similarity", "score")
+def _scores(spark, sf, **kw) -> DataFrame:
+    return pair_levenshtein(spark, sf, **kw).withColumnRenamed("similarity", "score")
 
 
 def _universe(spark, sf) -> DataFrame:
@@ -352,7 +353,7 @@ def threshold_grid(spark, sf):
 
 @_register("source_thresholds")
 def source_thresholds(spark, sf):
-    found = decide.source_thresholds(_scores(spark, sf), entities.truth(spark, sf), _universe(spark, sf), 0.6, min_pairs=100)
+    found = decide.source_thresholds(_scores(spark, sf, max_block=blocking.MAX_BLOCK), entities.truth(spark, sf), _universe(spark, sf), 0.6, min_pairs=100)
     return spark.createDataFrame(list(found.items()), "source string, threshold double")
 
 
@@ -475,18 +476,18 @@ def feature_separation(spark, sf):
 # ---------------------------------------------------------------- models
 
 
-def _model(name: str, **kw):
+def _model(name: str):
     @_register(f"ml_{name}")
     def fitted(spark, sf):
         table = decide.labels(_feature_table(spark, sf), entities.truth(spark, sf)).join(sampling.split(_universe(spark, sf)).withColumnRenamed("entity_id", "entity_id_s1"), "entity_id_s1").persist()
         columns = [c for c in features.feature_columns(table) if c != "part"]
-        model = models.PairModel.fit(name, table.where("part = 'train'"), columns, **kw)
+        model = models.PairModel.fit(name, table.where("part = 'train'"), columns)
         return model.score(table.where("part = 'validation'"))
 
 
 _model("logistic")
-_model("forest", numTrees=20, maxDepth=8)
-_model("boosted", maxDepth=4, maxIter=10)
+_model("forest")
+_model("boosted")
 
 
 @_register("end_to_end")
@@ -495,4 +496,4 @@ def end_to_end(spark, sf):
 
     r = entities.whole_records(spark, sf).drop("h")
     left, right = r.where(F.col("entity_id").startswith("S1-")), r.where(~F.col("entity_id").startswith("S1-"))
-    return link(left, right, threshold=0.61, max_block=CAP)
+    return link(left, right, threshold=0.61)

@@ -146,3 +146,20 @@ def test_rule_reads_whole_texts(spark, tmp_path):
     assert scores["S2-1"] == 1 and scores["S3-2"] < 0.9
     found = {x.source1_entity_id for x in queries.queries()["end_to_end"](spark, str(tmp_path)).collect()}
     assert found == {"S1-0", "S1-3"}
+
+
+def test_queries_without_sql_take_production_limits(spark, tmp_path, monkeypatch):
+    from tessera.operators import models
+    from tessera.plans import queries
+
+    rows = [(i, f"same name\nplace {i}", "en") for i in range(75)]  # 25 a source, over the SQL queries' cap
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.queries()
+    assert found["rule_score"](spark, str(tmp_path)).count() == 25 * 50
+    assert found["pair_fuzzy_all"](spark, str(tmp_path)).count() == 25 * 50
+    assert all(len(r.matched_entity_ids.split(",")) == 50 for r in found["end_to_end"](spark, str(tmp_path)).collect())
+    given = {}
+    monkeypatch.setattr(models.PairModel, "fit", classmethod(lambda cls, name, table, columns, **kw: given.update({name: kw}) or cls("rule", [])))
+    for name in ("forest", "boosted"):
+        found[f"ml_{name}"](spark, str(tmp_path))
+    assert given == {"forest": {}, "boosted": {}}
