@@ -37,26 +37,32 @@ def postings(records: DataFrame, rules: Sequence[str] = RULES) -> DataFrame:
     return records.select("entity_id", F.inline(entries)).where("key <> ''")
 
 
+def source_of(entity_id: str) -> Column:
+    """S2 of S2-17; empty where the id names no source."""
+    return F.regexp_extract(entity_id, r"^(S\d+)-", 1)
+
+
 def key_counts(entries: DataFrame) -> DataFrame:
     return entries.groupBy("rule", "key").agg(F.sum("occurrences").alias("rows"))
 
 
-def pairs_by_rule(left: DataFrame, right: DataFrame, *, rules: Sequence[str] = RULES, max_block: int = MAX_BLOCK, rare_limit: int = RARE_LIMIT, scope: str | None = None) -> DataFrame:
+def pairs_by_rule(left: DataFrame, right: DataFrame, *, rules: Sequence[str] = RULES, max_block: int = MAX_BLOCK, rare_limit: int = RARE_LIMIT, scope: str | None = None, apart: bool = True) -> DataFrame:
     """entity_id_s1, entity_id_other, rule: pairs that share a key of at most max_block rows on each side.
 
     Keys are counted first (sums that combine before the shuffle), so a hot key never reaches the join. A token counts
     by its occurrences, and only one rare on the right makes pairs. scope names a column of left: rows are then
-    counted within its values, as a run in chunks would.
+    counted within its values, as a run in chunks would. Rows of the right side are counted for each source alone,
+    unless apart is false: then all of them together.
     """
     within = [scope] if scope else []
     l = postings(left, rules) if not scope else postings(left, rules).join(left.select("entity_id", scope), "entity_id")
-    r = postings(right, rules)
-    few = key_counts(r).where(F.col("rows") <= F.when(F.col("rule") == "rare_name_token", min(rare_limit, max_block)).otherwise(max_block)).select("rule", "key")
+    r = postings(right, rules).withColumn("source", source_of("entity_id") if apart else F.lit(""))
+    few = r.groupBy("rule", "key", "source").agg(F.sum("occurrences").alias("rows")).where(F.col("rows") <= F.when(F.col("rule") == "rare_name_token", min(rare_limit, max_block)).otherwise(max_block)).select("rule", "key", "source")
     fewer = l.groupBy("rule", "key", *within).agg(F.sum("occurrences").alias("rows")).where(F.col("rows") <= max_block).drop("rows")
     live = fewer.join(few, ["rule", "key"])
-    l = l.join(live, ["rule", "key", *within]).select("rule", "key", F.col("entity_id").alias("entity_id_s1"))
-    r = r.select("rule", "key", F.col("entity_id").alias("entity_id_other"))
-    return l.join(r, ["rule", "key"]).select("entity_id_s1", "entity_id_other", "rule").distinct()
+    l = l.join(live, ["rule", "key", *within]).select("rule", "key", "source", F.col("entity_id").alias("entity_id_s1"))
+    r = r.select("rule", "key", "source", F.col("entity_id").alias("entity_id_other"))
+    return l.join(r, ["rule", "key", "source"]).select("entity_id_s1", "entity_id_other", "rule").distinct()
 
 
 def capped_merge(left: DataFrame, right: DataFrame, key: str, cap: int) -> DataFrame:

@@ -12,7 +12,8 @@ from tessera.functions.text import normalized
 from tessera.operators import audit, blocking, decide, features, models, retrieval, sampling, validate
 from tessera.plans import entities
 
-#: Block size of the queries that are compared with SQL; the others take blocking.MAX_BLOCK.
+#: Block size of the queries that are compared with SQL, which count both other sources together; the others take
+#: blocking.MAX_BLOCK for each source.
 CAP = 20
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -47,7 +48,7 @@ def _sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _candidates(spark: SparkSession, sf: str, **kw) -> DataFrame:
-    return blocking.pairs_by_rule(*_sides(spark, sf), **{"max_block": CAP, **kw})
+    return blocking.pairs_by_rule(*_sides(spark, sf), **{"max_block": CAP, "apart": False, **kw})
 
 
 # ---------------------------------------------------------------- records
@@ -232,7 +233,7 @@ def pair_jaro_winkler(spark, sf):
 
 @_register("pair_fuzzy_all")
 def pair_fuzzy_all(spark, sf):
-    d = _joined(spark, sf, "name_alnum", "address_alnum", max_block=blocking.MAX_BLOCK)
+    d = _joined(spark, sf, "name_alnum", "address_alnum", max_block=blocking.MAX_BLOCK, apart=True)
     name, addr = similarities(F.col("name_alnum_s1"), F.col("name_alnum_other")), similarities(F.col("address_alnum_s1"), F.col("address_alnum_other"))
     return d.select("entity_id_s1", "entity_id_other", name.alias("n"), addr.alias("a")).select("entity_id_s1", "entity_id_other", "n.*", *(F.col(f"a.{k}").alias(f"address_{k}") for k in ("ratio", "wratio", "partial_ratio")))
 
@@ -281,7 +282,7 @@ def _topk(column: str):
     def topk(spark, sf):
         left, right = _sides(spark, sf)
         idf = retrieval.fit(left.select(column).union(right.select(column)), column).persist()
-        return retrieval.top_k(retrieval.weights(left, "entity_id", column, idf), retrieval.weights(right, "entity_id", column, idf))
+        return retrieval.top_k(retrieval.weights(left, "entity_id", column, idf), retrieval.weights(right, "entity_id", column, idf), apart=False)
 
 
 _topk("name_alnum")
@@ -353,7 +354,7 @@ def threshold_grid(spark, sf):
 
 @_register("source_thresholds")
 def source_thresholds(spark, sf):
-    found = decide.source_thresholds(_scores(spark, sf, max_block=blocking.MAX_BLOCK), entities.truth(spark, sf), _universe(spark, sf), 0.6, min_pairs=100)
+    found = decide.source_thresholds(_scores(spark, sf, max_block=blocking.MAX_BLOCK, apart=True), entities.truth(spark, sf), _universe(spark, sf), 0.6, min_pairs=100)
     return spark.createDataFrame(list(found.items()), "source string, threshold double")
 
 

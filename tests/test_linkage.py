@@ -163,3 +163,16 @@ def test_queries_without_sql_take_production_limits(spark, tmp_path, monkeypatch
     for name in ("forest", "boosted"):
         found[f"ml_{name}"](spark, str(tmp_path))
     assert given == {"forest": {}, "boosted": {}}
+
+
+def test_limits_count_for_each_source(spark):
+    from tessera.operators import retrieval
+
+    left = records(spark, [("S1-0", "same name", "", "us")])
+    right = records(spark, [(f"S{k}-{i}", "same name", "", "us") for k, n in ((2, 3), (3, 2)) for i in range(n)])
+    found = lambda **kw: sorted(r.entity_id_other for r in blocking.pairs_by_rule(left, right, rules=["exact_name"], **kw).collect())
+    assert found(max_block=3) == ["S2-0", "S2-1", "S2-2", "S3-0", "S3-1"] and found(max_block=2) == ["S3-0", "S3-1"]
+    assert found(max_block=3, apart=False) == []
+    assert {r.entity_id_other for r in blocking.pairs_by_rule(left, right, rules=["rare_name_token"], rare_limit=2).collect()} == {"S3-0", "S3-1"}
+    near = lambda **kw: sorted(r.entity_id_other for r in retrieval.retrieve(left, right, "name_alnum", k=2, **kw).collect())
+    assert near() == ["S2-0", "S2-1", "S3-0", "S3-1"]
