@@ -26,9 +26,11 @@ BLOCKS = frozenset(
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option", "optgroup"}, "thead": {"tbody", "tfoot"}, "tbody": {"tbody", "tfoot"}}
 #: Elements whose start ends an open paragraph.
 ENDS_P = BLOCKS - frozenset("body caption html tbody td tfoot th thead tr dd dt".split()) | {"dd", "dt"}
-#: Names (class, id, role) of parts around an article.
+#: Of these, the ones that may hold a whole page, where nothing else has text.
+WRAPS = frozenset("header aside form dialog fieldset".split())
+#: Names (class, id, role) of parts around an article. Only whole names count: has-sidebar and no-header stand for the page.
 AROUND = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|aside|widget\w*|footer\w*|foot|header|masthead|topbar|toolbar|cookies?|consent|gdpr|notices?|popup|modal|overlay|newsletter|subscribe\w*|signup|share\w*|sharing|social\w*|related\w*|recommend\w*|comments?|commentlist|respond|reply|replies|disqus|pagination|pager|copyright|legal|disclaimer|login|search\w*|navigation|complementary|contentinfo|alert|dialog|skip\w*|tags?|hidden)(?:$|[\s_-])",
+    r"(?:^|\s)(?:ads?|advert\w*|adbox|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|aside|widget\w*|footer\w*|foot|header|masthead|topbar|toolbar|cookies?|consent|gdpr|notices?|popup|modal|overlay|newsletter|subscribe\w*|signup|share\w*|sharing|social\w*|related\w*|recommend\w*|comments?|commentlist|respond|reply|replies|disqus|pagination|pager|copyright|legal|disclaimer|login|search\w*|navigation|complementary|contentinfo|alert|dialog|skip\w*|tags?|hidden)(?:$|\s)",
     re.I,
 )
 TAG = re.compile(r"<!--.*?(?:-->|--!>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
@@ -43,8 +45,11 @@ class Node:
         self.tag, self.apart, self.parent, self.parts = tag, apart, parent, []
 
 
-def parse(page: str) -> Node:
-    """The element tree of a page, forgiving as browsers are. Parts are texts (references decoded) and nodes, in page order."""
+def parse(page: str, spare: int = 0) -> Node:
+    """The element tree of a page, forgiving as browsers are. Parts are texts (references decoded) and nodes, in page order.
+
+    spare keeps more of the page: from 1 on no element is apart for its names, from 2 on none that may wrap a page.
+    """
     root = node = Node("#root", False, None)
     at, n = 0, len(page)
 
@@ -92,7 +97,7 @@ def parse(page: str) -> Node:
                 up = up.parent
         if name in ("html", "body") and any(True for x in _up(node) if x.tag == name):
             continue
-        child = Node(name, name in APART or bool(said) and _is_apart(name, said), node)
+        child = Node(name, name in APART and not (spare > 1 and name in WRAPS) or bool(said) and _is_apart(name, said, not spare), node)
         node.parts.append(child)
         if name in RAW:
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(page, at)
@@ -109,18 +114,28 @@ def _up(node: Node) -> Iterator[Node]:
         node = node.parent
 
 
+def _way(node: Node, body: Node) -> list[Node]:
+    """The node and those above it, up to the body (the root for nodes outside it)."""
+    way = []
+    for v in _up(node):
+        way.append(v)
+        if v is body:
+            break
+    return way
+
+
 #: Names of an article's own parts, which the list above would take for others.
 OWN = re.compile(r"(?:article|entry|post|story|content|page)[_-]?(?:header|title|headline|heading|body|content|text|main)", re.I)
 
 
-def _is_apart(name: str, said: str) -> bool:
+def _is_apart(name: str, said: str, by_name: bool = True) -> bool:
     if name in ("html", "body", "article", "main", "p", "a", "b", "i", "em", "strong", "span", "br", "img"):
         names = {"hidden": 1} if re.search(r"(?:^|\s)hidden(?:\s|=|$)", said, re.I) and name not in ("html", "body") else {}
         if names or name not in ("p", "span", "a"):
             return bool(names)
     for m in ATTRIBUTE.finditer(said):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if key in ("class", "id", "role") and AROUND.search(OWN.sub("", value)):
+        if by_name and key in ("class", "id", "role") and AROUND.search(OWN.sub("", value)):
             return True
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
@@ -175,28 +190,41 @@ def _seen(v: Node) -> list[Node]:
     return [x for x in v.parts if isinstance(x, Node) and not x.apart and x.tag not in UNSEEN]
 
 
+#: Elements that hold an article rather than a part of its text.
+HOLDS = frozenset("div section article main center td th body html #root".split())
+
+
+def _whole(best: Node, way: list[Node], order: list[Node]) -> Node:
+    """The article that the winner is a part of: an article element, or a main element without any, or what holds the winner."""
+    article = next((v for v in way if v.tag == "article"), None)
+    if article is not None:
+        return article
+    apart = {id(u) for v in order if v.tag == "article" and v.chars for u in _up(v)}
+    main = next((v for v in way if v.tag == "main" and id(v) not in apart), None)
+    if main is not None:
+        return main
+    return next((v for v, up in zip(way, way[1:]) if v.tag in HOLDS or up.tag in ("body", "html", "#root")), best)
+
+
 def main_nodes(root: Node) -> list[Node]:
     """Subtrees that hold the article, in page order.
 
-    The greatest density sum marks the article's node; where the page names an article or a main element, only
-    those stand for election. The threshold is the least density on the way from it up to the body. Besides the
+    The greatest density sum marks the article's node; of equal ones an article or main element. A
+    winner inside an article element gives way to it, so no heading is lost. The threshold is the least density on the way from it up to the body. Besides the
     node itself, what stands next to that way and is as dense as the threshold asks, at least half as dense as
     the article and hardly linked, belongs to it: an article may be laid over several elements.
     """
     order, body = measure(root)
-    named = [v for v in order if v.tag in ("article", "main") and v.chars]
-    best = max(named or order, key=lambda v: v.sum)
+    best = max(order, key=lambda v: (v.sum, v.tag in ("article", "main")))
     if not best.chars:
         return []
-    way = []
-    for v in _up(best):
-        way.append(v)
-        if v is body:
-            break
+    way = _way(best, body)
+    best = _whole(best, way, order)
+    way = _way(best, body)
     limit = min(v.density for v in way)
     on_way = set(map(id, way))
-    alike = lambda v: v.density >= max(limit, 0.5 * best.density) and v.link_chars < 0.3 * v.chars and (not named or v.tag == best.tag)
-    keep, stack = [], [body if best is not root else root]
+    alike = lambda v: v.density >= max(limit, 0.5 * best.density) and v.link_chars < 0.3 * v.chars
+    keep, stack = [], [way[-1]]
     while stack:
         v = stack.pop()
         if v is best or id(v) not in on_way and alike(v):
@@ -235,10 +263,13 @@ def text_of(nodes: list[Node]) -> str:
 
 
 def main_text(page: str | None) -> str:
-    """The article of a page; empty for null, empty and textless pages."""
+    """The article of a page; empty for null, empty and textless pages. Where exclusion leaves nothing, less is excluded."""
     if not page:
         return ""
-    return text_of(main_nodes(parse(page)))
+    for spare in range(3):
+        if text := text_of(main_nodes(parse(page, spare))):
+            break
+    return text
 
 
 _OUT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])

@@ -99,6 +99,25 @@ def test_main_text():
     assert op3_html.main_text(page) == f"Head\n{p.strip()}\n{p.strip()} end <"
 
 
+def test_main_text_is_elected_by_density():
+    p = "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore. " * 2
+    body, said = f"<h2>Head</h2><p>{p}</p><p>{p}</p><p>{p}</p>", "\n".join(["Head"] + [p.strip()] * 3)
+    cards = "".join(f"<article><a href=/{i}>Teaser {i}</a> More</article>" for i in range(4))
+    assert op3_html.main_text(f"<body><div class=content>{body}</div><div>{cards}</div></body>") == said
+    assert op3_html.main_text(f"<body><div>{cards}</div><article>{body}</article></body>") == said
+    for name in ("has-sidebar", "no-header", "page has-comments"):
+        assert op3_html.main_text(f"<body><div class='{name}'><div>{body}</div><div class=sidebar><p>{p}</p></div></div></body>") == said
+    for wrap in ("div class=widget", "form"):
+        assert op3_html.main_text(f"<body><{wrap}><nav>menu</nav><div>{body}</div></{wrap.split()[0]}></body>") == said
+    # one paragraph with marks inside: the heading stays
+    short = f"<h1>Head</h1><p><b>{p}<br></b></p>"
+    for holder in ("article", "main", "div"):
+        assert op3_html.main_text(f"<body><{holder}>{short}</{holder}></body>") == f"Head\n{p.strip()}"
+    parts = f"<h1>Head</h1><section><p>{p}</p><p>{p}</p></section><section><p>Short end.</p></section>"
+    for holder in ("article", "main"):
+        assert op3_html.main_text(f"<body><{holder}>{parts}</{holder}></body>") == f"Head\n{p.strip()}\n{p.strip()}\nShort end."
+
+
 def test_windows_and_removal(spark):
     item = " ".join(f"w{i}" for i in range(12))
     bench = spark.createDataFrame([(7, item), (8, "Short one"), (9, item)], "item_id long, text string")
