@@ -21,6 +21,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tessera.llm.common import connected_components, cut, frugal, ship, small
 from tessera.llm.kernels import NOT_SPACE, mix, shingle_sets, slices, utf8, words_of
@@ -291,6 +292,12 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k
     included. Repeated rows are documents that link. No link is lost: every key is followed to its end.
     Only id_col and text_col are read.
     """
+    out = _grouped(docs, id_col, text_col, k, num, den)
+    return out.select(F.col("i").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component_id", "i").alias("component_id"))
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int) -> DataFrame:
+    """i, n, node of each row of docs, with the node's component and its smallest id; these are null for empty sets."""
     ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
     first = cut(_first_pass(docs, k))
@@ -300,10 +307,9 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k
     least = rows.where("node is not null").groupBy("node").agg(F.min("i").alias("least"))
     joined = connected_components(links).join(least, "node")
     best = joined.groupBy("component").agg(F.min("least").alias("best"))
-    linked = joined.select("node", "component").join(best, "component").select("node", "best")
-    of_node = least.join(linked, "node", "left").select("node", F.coalesce("best", "least").alias("component_id"))
-    out = rows.join(of_node, "node", "left")
-    return out.select(F.col("i").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component_id", "i").alias("component_id"))
+    linked = joined.select("node", "component").join(best, "component").select("node", "component", "best")
+    of_node = least.join(linked, "node", "left").select("node", F.coalesce("component", "node").alias("component"), F.coalesce("best", "least").alias("component_id"))
+    return rows.join(of_node, "node", "left")
 
 
 def _links(docs: DataFrame, rows: DataFrame, index: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -373,17 +379,36 @@ def _with_leaders(entries: DataFrame, lead_about: DataFrame) -> DataFrame:
     return entries.join(lead, "key").where("node <> lead")
 
 
+def _with_node(docs: DataFrame, k: int) -> DataFrame:
+    """docs with __node, the name of each row's set of shingles; null for empty sets."""
+    at, names = docs.columns.index("text"), [*docs.columns, "__node"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = [digest(s) if len(s) else None for _, sets in sets_of(batch.column(at), k) for s in sets]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], names=names)
+
+    return docs.mapInArrow(frugal(run), StructType([*docs.schema.fields, StructField("__node", LongType())]))
+
+
 def one_of_each(docs: DataFrame, *, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The documents of the smallest id in their group, one row each; rows without an id stay as they are."""
-    found = groups(docs, k=k, num=num, den=den)
-    gone = cut(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct())
-    kept = docs.join(small(gone), F.col("doc_id") == F.col("__gone"), "left_anti")
-    # repeated rows of one id: the first by text stays
-    twice = cut(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__twice")))
+    """One row of each group of rows that links reach: of the smallest id, then of the smallest text.
+
+    Rows without an id and rows without words stay as they are. A row goes for its own text only: other texts under
+    its id stay.
+    """
+    found = _grouped(docs, "doc_id", "text", k, num, den).where("i is not null")
+    gone = cut(found.where("i <> component_id").select(F.col("i").alias("__gone")).distinct())
+    twice = cut(found.groupBy("i").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("i").alias("__twice")))
     if not twice.limit(1).count():
-        return kept
-    once = kept.join(small(twice), F.col("doc_id") == F.col("__twice"), "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("r"))
-    return kept.join(small(twice), F.col("doc_id") == F.col("__twice"), "left_anti").unionByName(once.select("doc_id", "r.*"))
+        return docs.join(small(gone), F.col("doc_id") == F.col("__gone"), "left_anti")
+    # ids of several rows: their rows are told apart by their sets
+    single = docs.join(small(twice), F.col("doc_id") == F.col("__twice"), "left_anti").join(small(gone), F.col("doc_id") == F.col("__gone"), "left_anti")
+    several = _with_node(docs.join(small(twice), F.col("doc_id") == F.col("__twice"), "left_semi"), k)
+    leads = found.where("i = component_id").join(small(twice), F.col("i") == F.col("__twice"), "left_semi").select(F.col("node").alias("__n"), F.col("i").alias("__i"), F.col("component").alias("__component")).distinct()
+    first = F.struct("text", *(c for c in docs.columns if c != "text"))
+    once = several.join(small(cut(leads)), F.expr("__node = __n and doc_id = __i")).groupBy("__component").agg(F.min(first).alias("__r"))
+    return single.unionByName(once.select("__r.*")).unionByName(several.where("__node is null").drop("__node"))
 
 
 _SETS = r"""

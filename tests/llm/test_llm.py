@@ -93,6 +93,40 @@ def test_groups_by_brute_force(spark, monkeypatch, items, needs):
     assert got == {i: (len(sets[i]), label[i]) for i in range(90)}
 
 
+def test_one_of_each_by_brute_force(spark):
+    """Ids of several rows lose only the rows that are copies; the pipeline's second stage is this function."""
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    base = [[f"w{rng.randint(0, 300)}" for _ in range(rng.randint(8, 60))] for _ in range(8)]
+    texts = []
+    for _ in range(70):
+        w = list(rng.choice(base))
+        if rng.random() < 0.5:
+            w[rng.randrange(len(w))] = f"v{rng.randint(0, 9)}"
+        texts.append((rng.randint(0, 40), " ".join(w)))
+    texts += [(100, "one clean text of its own that no other row has"), (100, texts[0][1]), (101, "a"), (101, "b"), (102, ""), (102, None), (None, texts[0][1])]
+
+    def shingles(t):
+        w = (t or "").split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+    sets, label = [shingles(t) for _, t in texts], list(range(len(texts)))
+    linked = [(a, b) for a in range(len(texts)) for b in range(a) if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for _ in texts:
+        for a, b in linked:
+            label[a] = label[b] = min(label[a], label[b])
+    groups, want = collections.defaultdict(list), []
+    for (i, t), s, g in zip(texts, sets, label):
+        if i is None or not s:
+            want.append((i, t))
+        else:
+            groups[g].append((i, t))
+    want += [min(g) for g in groups.values()]
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs(spark, texts), "").collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
 def test_main_text():
     p = "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore. " * 2
     page = f"<html><head><title>t</title><style>x</style></head><body><nav><a href=/>home</a></nav><div class='content'><h2>Head</h2><p>{p}<p>{p}<br>end &lt;</div><div class=sidebar><p>{p}</div><section id=comments><p>{p}</section><footer>f</footer></body>"
