@@ -249,7 +249,7 @@ class Shard:
     """Reads a shard file: any row, or the rows of a key through the index."""
 
     def __init__(self, path: str):
-        self.file = _open(path, "rb")
+        self.path, self.file = path, _open(path, "rb")
         size = self.file.seek(0, 2)
         size = self.file.tell() if size is None else size
         foot = self._at(size - 56, 56)
@@ -288,6 +288,23 @@ class Shard:
             row += 1
         return rows
 
+    def probe(self, keys: np.ndarray) -> np.ndarray:
+        """The first row of each key by one probe of the index, as find; -1 where the index has no such key."""
+        if not self.n_keys:
+            return np.full(len(keys), -1)
+        bucket, h = _hashes(keys, self.seed)
+        shift = np.frombuffer(self._at(self.shifts_at, 4 * self.n_buckets), "<i4")[bucket % _U(self.n_buckets)].astype(np.int64)
+        slot = np.where(shift < 0, -shift - 1, _slot(h, np.maximum(shift, 0), self.n_keys).astype(np.int64))
+        prints = np.frombuffer(self._at(self.prints_at, 4 * self.n_keys), "<u4")[slot]
+        return np.where(prints == _fingerprints(keys, self.seed), np.frombuffer(self._at(self.rows_at, 4 * self.n_keys), "<u4")[slot].astype(np.int64), -1)
+
+    def verify(self) -> None:
+        """Probes the index for every stored key; raises where one does not lead to the key's first row."""
+        live = np.flatnonzero(np.frombuffer(self._at(self.null_at, self.n_rows), np.uint8) == 0)
+        keys, first = np.unique(np.frombuffer(self._at(self.keys_at, 8 * self.n_rows), "<i8")[live], return_index=True)
+        if len(keys) != self.n_keys or (self.probe(keys) != live[first]).any():
+            raise ValueError(f"{self.path}: the index does not lead to every row")
+
     def rows(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
         """All rows in order: key, first id's number in the shard, ids."""
         ends = np.frombuffer(self._at(self.ends_at, 8 * (self.n_rows + 1)), "<i8").tolist()
@@ -358,12 +375,16 @@ _ROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa
 
 
 def read_store(spark, store: TokenStore) -> DataFrame:
-    """One row for each stored text, from the files: doc_id, start, n_tokens, ids_crc32."""
+    """One row for each stored text, from the files: doc_id, start, n_tokens, ids_crc32.
+
+    Rows come in file order; each shard's index is probed for all its keys first and must lead to their rows.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in batch.to_pylist():
                 shard, rows = Shard(s["path"]), []
+                shard.verify()
                 for key, at, ids in shard.rows():
                     rows.append((key, s["start"] + at, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
                     if len(rows) == 10_000:

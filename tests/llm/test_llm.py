@@ -230,6 +230,23 @@ def test_token_store_round_trip(spark, tmp_path):
     assert sorted(slots.tolist()) == list(range(len(keys)))
 
 
+def test_read_store_probes_the_index(spark, tmp_path):
+    rng = random.Random(8)
+    d = docs(spark, [(rng.choice([None, rng.randint(-50, 50), rng.randint(-(1 << 62), 1 << 62)]), f"text {i}") for i in range(400)])
+    store = op9_tokens.write_store(d, f"file://{tmp_path}/s", public_tokenizers.path("word_bpe_49k.json"))
+    assert op9_tokens.read_store(spark, store).count() == 400
+    shard = op9_tokens.Shard(max(store.shards, key=lambda s: s["n_rows"])["path"])
+    keys = np.unique([k for k, _, _ in shard.rows() if k is not None])
+    assert shard.probe(keys).tolist() == [shard.find(k)[0] for k in keys.tolist()] and len(keys) > 20
+    file = shard.path.removeprefix("file://")
+    whole = open(file, "rb").read()
+    for at in (shard.shifts_at, shard.rows_at, shard.prints_at):
+        size = 4 * (shard.n_buckets if at == shard.shifts_at else shard.n_keys)
+        open(file, "wb").write(whole[:at] + whole[at : at + size][4:] + whole[at : at + 4] + whole[at + size :])
+        with pytest.raises(Exception, match="index does not lead"):
+            op9_tokens.read_store(spark, store).count()
+
+
 def test_columns_by_brute_force():
     rng, length, anchor = random.Random(5), 40, 15
     for trial in range(60):
