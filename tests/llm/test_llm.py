@@ -268,3 +268,24 @@ def test_columns_by_brute_force():
             spans[t[i]] += [(int(a[i]) + x, int(a[i]) + y) for x, y in own]
         count = collections.Counter(x[s : s + length] for x in texts for s in range(len(x) - length + 1))
         assert [merged(s) for s in spans] == [merged([(s, s + length) for s in range(len(x) - length + 1) if count[x[s : s + length]] > 1]) for x in texts]
+
+
+def test_repeats_by_brute_force(spark, monkeypatch):
+    """With groups so small that whole segments, the column-wise order and counted windows all decide spans."""
+    monkeypatch.setattr(op10_substrings, "GROUP", 3)
+    ran, counted, ordered = {}, op10_substrings._counted, op10_substrings._ordered
+    keep = lambda name, f: lambda found: ran.setdefault(name, f(found))
+    monkeypatch.setattr(op10_substrings, "_counted", keep("counted", counted))
+    monkeypatch.setattr(op10_substrings, "_ordered", keep("ordered", ordered))
+    rng, length = random.Random(9), op10_substrings.LENGTH
+    some = lambda n: "".join(rng.choice("abcdefgh ijé") for _ in range(n))
+    often, pair, whole = some(520), some(480), some(900)
+    texts = [some(150) + often + some(rng.randint(0, 200)) for _ in range(8)] + [some(90) + pair + some(300), pair + some(20), whole, whole, some(700), some(30), "", None]
+    texts = list(enumerate(texts))
+    raw = [(t or "").encode() for _, t in texts]
+    count = collections.Counter(x[s : s + length] for x in raw for s in range(len(x) - length + 1))
+    gone = [merged([(s, s + length) for s in range(len(x) - length + 1) if count[x[s : s + length]] > 1]) for x in raw]
+    got = {r.doc_id: (r.n_removed, r.n_spans, bytes(r.kept)) for r in op10_substrings.repeats(docs(spark, texts)).collect()}
+    kept = [b"".join(x[a:b] for a, b in zip([0] + [e for _, e in g], [s for s, _ in g] + [len(x)])) for x, g in zip(raw, gone)]
+    assert got == {i: (len(x) - len(k), len(g), k) for i, (x, k, g) in enumerate(zip(raw, kept, gone))}
+    assert sum(map(len, gone)) == 12 and all(ran[name].count() for name in ("counted", "ordered"))
