@@ -106,23 +106,21 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """Components of an undirected graph.
 
     edges: columns a, b (same orderable type, not null). Returns node, component, the smallest node reachable.
-    Nodes without an edge do not appear. Each round hooks every tree on the smallest neighbouring label and
-    halves the paths, so that rounds grow with the logarithm of a component's diameter.
+    Nodes without an edge do not appear. Every edge points from its greater end x to a parent p. A round gives each x its
+    least parent, tells its other parents of that one, and replaces parents by their own least parents, so paths halve.
+    A round joins on parents, whose rows a hot one may have many of; such a join is split at run time.
     """
-    edges = _plain(cut(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))
-    both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
-    labels = _plain(cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component"))))
+    own = F.struct(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("p"))
+    rows = _plain(cut(edges.where("a <> b").select(own.alias("e")).select("e.*").distinct()))
     while True:
-        # every node takes the smallest label among its neighbours and itself, then the label of that label
-        lab = labels.select(F.col("node").alias("b"), F.col("component").alias("lb"))
-        near = both.join(lab, "b").groupBy(F.col("a").alias("node")).agg(F.min("lb").alias("near"))
-        step = labels.join(near, "node").select("node", "component", F.least("component", "near").alias("next"))
-        # a label is itself a node: hook the old label's node, too
-        hook = step.groupBy(F.col("component").alias("node")).agg(F.min("next").alias("hooked"))
-        step = step.join(hook, "node", "left").select("node", "component", F.least("next", F.coalesce("hooked", "next")).alias("next"))
-        jump = step.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        step = _plain(cut(step.join(jump, "next", "left").select("node", "component", F.least("next", F.coalesce("far", "next")).alias("next"))))
-        changed = step.where("component <> next").limit(1).count()
-        labels = step.select("node", F.col("next").alias("component"))
-        if not changed:
-            return labels
+        dealt = rows.select("x", "p").repartition("x")
+        least = dealt.groupBy("x").agg(F.min("p").alias("m"))
+        told = dealt.join(least, "x")
+        told = told.select("x", F.col("m").alias("p"), (F.col("p") != F.col("m")).alias("c")).union(told.where("p <> m").select(F.col("p").alias("x"), F.col("m").alias("p"), F.lit(True).alias("c")))
+        up = least.select(F.col("x").alias("q"), F.col("m").alias("r"))
+        jumped = told.join(up, F.col("p") == F.col("q"), "left").select("x", F.coalesce("r", "p").alias("p"), (F.col("c") | F.col("r").isNotNull()).alias("c"))
+        rows = _plain(cut(jumped.groupBy("x", "p").agg(F.max("c").alias("c"))))
+        if not rows.where("c").limit(1).count():
+            break
+    roots = rows.select(F.col("p").alias("node"), F.col("p").alias("component")).distinct()
+    return rows.select(F.col("x").alias("node"), F.col("p").alias("component")).union(roots)

@@ -6,6 +6,7 @@ or by the longest single text.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -113,11 +114,44 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(_U) * _U(0xD6E8FEB86659FD93))
 
 
+#: Bytes up to which a word is hashed in lanes of eight; longer words are rare and hashed one by one.
+_LANES_END = 64
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words: lanes of eight bytes, each mixed into the hash of those before it.
+
+    Unlike sums of powers, mixing leaves no pairs of words that are known to share a hash.
+    """
+    if not len(starts):
+        return np.zeros(0, _U)
+    filled = np.concatenate([data, np.zeros(8, np.uint8)])
+    lanes = np.ndarray((len(data) + 1,), "<u8", filled, strides=(1,))
+    size = ends - starts
+    out = mix(_lane(lanes, starts, size) ^ size.astype(_U) * _U(0xD6E8FEB86659FD93))
+    more = np.flatnonzero((size > 8) & (size <= _LANES_END))
+    at = 8
+    while len(more):
+        own = _lane(lanes, starts[more] + at, size[more] - at)
+        out[more] = mix(out[more] * _U(0x9FB21C651E98DF25) ^ own)
+        at += 8
+        more = more[size[more] > at]
+    for i in np.flatnonzero(size > _LANES_END).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
+def _lane(lanes: np.ndarray, at: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Eight bytes from each place on, those behind the word's end as zeros."""
+    shift = (np.maximum(8 - left, 0) * 8).astype(_U)
+    return lanes[at].astype(_U) << shift
+
+
 def words_of(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Per word its first byte, end, hash; per text the index of its first word (and the end)."""
     low = LOWER[data]
     starts, ends = word_bounds(low, offsets, kind)
-    return starts, ends, span_hashes(prefix_hashes(low), starts, ends), np.searchsorted(starts, offsets)
+    return starts, ends, word_hashes(low, starts, ends), np.searchsorted(starts, offsets)
 
 
 def shingle_sets(hashes: np.ndarray, bounds: np.ndarray, k: int) -> list[np.ndarray]:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.llm.common import frugal, ship
-from tessera.llm.kernels import LOWER, NOT_SPACE, mix, prefix_hashes, slices, span_hashes, utf8, word_bounds
+from tessera.llm.kernels import LOWER, NOT_SPACE, mix, slices, utf8, word_bounds, word_hashes
 
 #: Labelled rows that a model is fitted on at most: those of the smallest hashes of their ids.
 SAMPLE_ROWS = 4_000
@@ -39,7 +39,7 @@ def features(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         n = len(starts)
         at = np.searchsorted(starts, cuts)
         row = np.repeat(np.arange(j - i, dtype=np.uint64), np.diff(at))
-        words = span_hashes(prefix_hashes(LOWER[part]), starts, ends)
+        words = word_hashes(LOWER[part], starts, ends)
         if n:
             kinds = np.bitwise_or.reduceat(np.where(NOT_SPACE[part], _CLASS[part], 0), starts).astype(_U)
             last = part[ends - 1]

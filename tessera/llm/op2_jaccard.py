@@ -6,10 +6,10 @@ shingles of a prefix are indexed one by one. Where frequent ones lie in the pref
 are dealt into B classes, and pairs of one class are indexed: B + 1 common shingles put two into one class. B goes
 with the set's size, so the pairs stay a fraction of the set.
 
-An indexed key with several nodes is not expanded into all its pairs. Its nodes are compared with one leader; those
-that link are joined through it. Jaccard distance is a metric, so a node that missed the leader can only link nodes
-whose distance to the leader differs by at most the limit; only such pairs are compared afterwards, and only where
-their groups still differ.
+A key with several nodes is not expanded into its pairs: its nodes become members of the key's hub, its least node.
+Nodes that share a key share a hub, so comparing the members of each hub loses no link. A hub of bounded size is one
+group. The members of a larger one are dealt into blocks, the hub itself into each; where blocks of a hub then still
+lie in different components, blocks meet blocks. Sets are read from the texts once and sent to their groups.
 """
 
 from __future__ import annotations
@@ -29,14 +29,10 @@ from tessera.llm.kernels import NOT_SPACE, mix, shingle_sets, slices, utf8, word
 _U = np.uint64
 #: Counters of the shingle frequency sketch, and counters in one of its rows.
 COUNTERS_BITS, BLOCK = 18, 4096
-#: Ids up to which a list of needed documents is broadcast (8 bytes each); longer lists are joined.
-NEEDED_IDS = 4_000_000
-#: Rounds of leaders before the rest of a key is compared directly.
-LEADERS = 3
-#: Shingles and sets of a group of pairs that one call compares, in the mean; a longer set stands with what it meets.
+#: Shingles and sets of a group that one call compares, in the mean; a longer set stands with what it meets.
 GROUP_ITEMS, GROUP_NODES = 1 << 19, 512
-#: Rows (set, group) up to which they are broadcast (16 bytes each); more are joined by a shuffle.
-NEEDS_ROWS = 200_000
+#: Holders of a shingle in a group up to which its pairs are listed; those of more are counted by a matrix product.
+LISTED = 12
 
 
 def sets_of(column: pa.Array, k: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -48,10 +44,12 @@ def sets_of(column: pa.Array, k: int) -> Iterator[tuple[int, list[np.ndarray]]]:
         yield i, shingle_sets(hashes, at, k)
 
 
-def digest(s: np.ndarray) -> int:
-    """A signed 64-bit name of a set."""
-    h = mix(s)
-    return int(mix(np.array([h.sum(dtype=_U) ^ _U(len(s) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)], _U) + np.bitwise_xor.reduce(h))[0].view(np.int64))
+def digest(s: np.ndarray, salt: int = 0) -> tuple[int, int]:
+    """A signed 64-bit name of a set, and a second one that tells sets apart which share the first."""
+    h = mix(s + _U(salt * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+    total = int(h.sum(dtype=_U)) + len(s) * 0xD6E8FEB86659FD93
+    both = np.array([total & (1 << 64) - 1, int(np.bitwise_xor.reduce(h))], _U)
+    return tuple(mix(both).view(np.int64).tolist())
 
 
 def classes(n: int, num: int, den: int) -> tuple[int, int, int]:
@@ -67,8 +65,8 @@ def split_classes(low: int, num: int, den: int) -> int:
     return 0 if low < 8 else max(1, low * (den - num) // den)
 
 
-def keys(s: np.ndarray, hot: np.ndarray, num: int, den: int) -> tuple[np.ndarray, int]:
-    """Index keys of a set, such that linked sets share one, and how many frequent shingles its plain prefix holds.
+def keys(s: np.ndarray, hot: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Index keys of a set, such that linked sets share one.
 
     Keys of single rare shingles are even, the others odd.
     """
@@ -99,32 +97,33 @@ def keys(s: np.ndarray, hot: np.ndarray, num: int, den: int) -> tuple[np.ndarray
                     break
                 out.append(mix(mix(part[first] + salt) + part[first + step] * _U(0x9FB21C651E98DF25)))
     odd = np.unique(np.concatenate(out)) | _U(1) if out else single[:0]
-    return np.concatenate([np.unique(single), odd]), max(0, min(miss + 1 - len(rare), len(often)))
+    return np.concatenate([np.unique(single), odd])
 
 
-def _first_pass(docs: DataFrame, k: int) -> DataFrame:
-    """One row for each document (i, n, node) and, for each task, its part of the frequency sketch (block, counts)."""
-    schema = pa.schema([("i", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("block", pa.int32()), ("salt", pa.int32()), ("counts", pa.binary())])
+def _first_pass(docs: DataFrame, k: int, salt: int) -> DataFrame:
+    """One row for each document (i, n, node, sign) and, for each task, its part of the frequency sketch (block, counts)."""
+    schema = pa.schema([("i", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("sign", pa.int64()), ("block", pa.int32()), ("deal", pa.int32()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         counts = np.zeros(1 << COUNTERS_BITS, np.int64)
         for batch in batches:
-            n, node = [], []
+            n, names = [], []
             for _, sets in sets_of(batch.column(1), k):
                 n += map(len, sets)
-                node += [digest(s) if len(s) else None for s in sets]
+                names += [digest(s, salt) if len(s) else (None, None) for s in sets]
                 if sets:
                     counts += np.bincount((np.concatenate(sets) >> _U(64 - COUNTERS_BITS)).astype(np.int64), minlength=len(counts))
             none = pa.nulls(len(n))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), none.cast(pa.int32()), none.cast(pa.int32()), none.cast(pa.binary())], schema=schema)
+            node, sign = zip(*names) if names else ((), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(sign, pa.int64()), none.cast(pa.int32()), none.cast(pa.int32()), none.cast(pa.binary())], schema=schema)
         parts = counts.reshape(-1, BLOCK)
         some = [j for j, c in enumerate(parts) if c.any()]
-        none, salt = pa.nulls(len(some)).cast(pa.int64()), TaskContext.get().partitionId() % 64
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array(some, pa.int32()), pa.array([salt] * len(some), pa.int32()), pa.array([_pack(parts[j]) for j in some], pa.binary())], schema=schema)
+        none, deal = pa.nulls(len(some)).cast(pa.int64()), TaskContext.get().partitionId() % 64
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(some, pa.int32()), pa.array([deal] * len(some), pa.int32()), pa.array([_pack(parts[j]) for j in some], pa.binary())], schema=schema)
 
-    return docs.mapInArrow(frugal(run), "i long, n long, node long, block int, salt int, counts binary")
+    return docs.mapInArrow(frugal(run), "i long, n long, node long, sign long, block int, deal int, counts binary")
 
 
 def _pack(counts: np.ndarray) -> bytes:
@@ -145,7 +144,7 @@ def _add(df: DataFrame, *by: str) -> DataFrame:
 
 def frequent_counters(first: DataFrame) -> np.ndarray:
     """Which counters of the sketch stand out: bounded, whatever the input. It only steers the order of shingles."""
-    parts = _add(_add(first.where("block is not null"), "block", "salt"), "block").collect()
+    parts = _add(_add(first.where("block is not null"), "block", "deal"), "block").collect()
     counts = np.zeros(1 << COUNTERS_BITS, np.int64)
     for r in parts:
         counts[r.block * BLOCK : (r.block + 1) * BLOCK] = _unpack(r.counts)
@@ -153,58 +152,44 @@ def frequent_counters(first: DataFrame) -> np.ndarray:
     return counts > mean + 64 + 8 * np.sqrt(mean)
 
 
-def _index(docs: DataFrame, hot: np.ndarray, k: int, num: int, den: int) -> DataFrame:
-    """key, node, f: the index entries of every document; f is the number of frequent shingles in its plain prefix."""
+def _index(docs: DataFrame, hot: np.ndarray, k: int, num: int, den: int, salt: int) -> DataFrame:
+    """key, node: the index entries of every document; a task tells each node once."""
     sent = docs.sparkSession.sparkContext.broadcast(hot)
-    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("f", pa.int32())])
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = sent.value
+        hot, done = sent.value, set()
         for batch in batches:
-            done: set[int] = set()
             for _, sets in sets_of(batch.column(1), k):
-                found, nodes, often = [], [], []
+                found, nodes = [], []
                 for s in sets:
-                    if len(s) and (d := digest(s)) not in done:
+                    if len(s) and (d := digest(s, salt)[0]) not in done:
                         done.add(d)
-                        own, f = keys(s, hot, num, den)
-                        found.append(own)
+                        found.append(keys(s, hot, num, den))
                         nodes.append(d)
-                        often.append(f)
                 if found:
-                    each = list(map(len, found))
-                    cols = np.concatenate(found).view(np.int64), np.repeat(np.array(nodes, np.int64), each), np.repeat(np.array(often, np.int32), each)
+                    cols = np.concatenate(found).view(np.int64), np.repeat(np.array(nodes, np.int64), list(map(len, found)))
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], schema=schema)
 
-    return docs.mapInArrow(frugal(run), "key long, node long, f int")
+    return docs.mapInArrow(frugal(run), "key long, node long")
 
 
-def _sources(docs: DataFrame, rows: DataFrame, nodes: DataFrame) -> tuple[DataFrame, np.ndarray | None]:
-    """The documents (one for each node, its smallest id) whose sets are compared: a table with them, and their ids where those are few."""
-    reps = rows.where("node is not null").groupBy("node").agg(F.min("i").alias("i")).join(nodes, "node").select("i")
-    reps = cut(reps.distinct())
-    if reps.count() > NEEDED_IDS:
-        return docs.join(reps.withColumnRenamed("i", "r"), F.col("i").eqNullSafe(F.col("r")), "left_semi"), None
-    return docs, np.sort(np.array(reps.where("i is not null").toArrow().column("i"), np.int64))
-
-
-def _sets(sources: tuple[DataFrame, np.ndarray | None], k: int, width: int) -> DataFrame:
-    """node, items: packed sets, of each shingle the first width bytes in ascending order. Read again from the texts, not stored."""
+def _sets(docs: DataFrame, k: int, width: int, salt: int) -> DataFrame:
+    """node, items: packed sets, of each shingle the first width bytes in ascending order. A task tells each node once."""
     schema = pa.schema([("node", pa.int64()), ("items", pa.binary())])
-    docs, ids = sources
-    sent = docs.sparkSession.sparkContext.broadcast(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = set()
         for batch in batches:
-            if sent.value is not None:
-                i = batch.column(0)
-                wanted = np.isin(i.fill_null(0).to_numpy(zero_copy_only=False), sent.value) | i.is_null().to_numpy(zero_copy_only=False)
-                batch = batch.filter(pa.array(wanted))
             for _, sets in sets_of(batch.column(1), k):
-                own = [s for s in sets if len(s)]
-                if own:
-                    packed = [s.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes() for s in own]
-                    yield pa.RecordBatch.from_arrays([pa.array([digest(s) for s in own], pa.int64()), pa.array(packed, pa.binary())], schema=schema)
+                nodes, packed = [], []
+                for s in sets:
+                    if len(s) and (d := digest(s, salt)[0]) not in done:
+                        done.add(d)
+                        nodes.append(d)
+                        packed.append(s.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes())
+                if nodes:
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(packed, pa.binary())], schema=schema)
 
     return docs.mapInArrow(frugal(run), "node long, items binary")
 
@@ -229,58 +214,93 @@ def shared(x: np.ndarray, y: np.ndarray) -> int:
     return int((c[1:] == c[:-1]).sum())
 
 
-def _dealt(pairs: DataFrame) -> DataFrame:
-    """pairs (a, na, b, nb, hub) with a group g of bounded size: pairs of one hub meet in one group, so that a set is sent
-    to few groups, whatever the number of its pairs. Hubs with too much for a group are dealt out in blocks against
-    blocks; small ones share groups."""
-    ends = pairs.select("hub", F.col("a").alias("node"), F.col("na").alias("n")).union(pairs.select("hub", "b", "nb")).distinct()
-    sizes = cut(ends.groupBy("hub").agg(F.sum("n").alias("items"), F.ceil(F.greatest(F.sum("n") / GROUP_ITEMS, F.count("*") / GROUP_NODES)).alias("parts")))
-    bundles = F.lit(1 + sizes.agg(F.coalesce(F.sum("items"), F.lit(0))).first()[0] // GROUP_ITEMS)
-    p, q = (F.pmod(F.xxhash64(c), F.col("parts")) for c in "ab")
-    alone = F.xxhash64("hub", F.least(p, q), F.greatest(p, q))
-    return pairs.join(small(sizes), "hub").select("a", "b", F.when(F.col("parts") > 1, alone).otherwise(F.pmod(F.xxhash64("hub"), bundles)).alias("g"))
+def common_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many items every two of the sets share, as a matrix; the diagonal is not filled."""
+    m = len(sets)
+    items, owner = np.concatenate(sets), np.repeat(np.arange(m), list(map(len, sets)))
+    order = np.argsort(items, kind="stable")
+    items, owner = items[order], owner[order]
+    first = np.flatnonzero(np.concatenate([[True], items[1:] != items[:-1]]))
+    holders = np.diff(np.append(first, len(items)))
+    counts = np.zeros(m * m, np.int64)
+    few = np.repeat((holders > 1) & (holders <= LISTED), holders)
+    x, o = items[few], owner[few]
+    for step in range(1, LISTED):
+        same = np.flatnonzero(x[step:] == x[:-step])
+        if not len(same):
+            break
+        counts += np.bincount(o[same] * m + o[same + step], minlength=m * m)
+    counts = counts.reshape(m, m)
+    many = np.flatnonzero(holders > LISTED)
+    for a in range(0, len(many), 2048):
+        part = many[a : a + 2048]
+        grid = np.zeros((m, len(part)), np.float32)
+        at = np.repeat(first[part], holders[part]) + _ramp(holders[part])
+        grid[owner[at], np.repeat(np.arange(len(part)), holders[part])] = 1
+        counts += (grid @ grid.T).astype(np.int64)
+    return np.maximum(counts, counts.T)
+
 
+def _ramp(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, .. size - 1 for each size, in a row."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)
 
-def _compare(pairs: DataFrame, docs: DataFrame, rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """a, b, linked, share (Jaccard, at most 1e-3 too high where not linked) of distinct pairs (a, na, b, nb, hub).
 
-    Three bytes of each shingle are compared first. They count every common shingle and some by chance, n * m / 2^24
-    in the mean. Where chance could tip the scale, the pair is compared again by whole shingles.
+def compared(nodes: list[int], sets: list[np.ndarray], num: int, den: int, width: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Of one group: links that connect what its links connect, and pairs that whole shingles must decide.
+
+    Three bytes of a shingle count every common one and some by chance, n * m / 2^24 in the mean. Where chance could tip
+    the scale and no other links join the pair, it is left to be decided.
     """
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sure", pa.bool_()), ("linked", pa.bool_()), ("share", pa.float64())])
-
-    def with_width(width: int):
-        def run(table: pa.Table) -> pa.Table:
-            sets = table.filter(table.column("b").is_null())
-            packed = dict(zip(sets.column("a").to_pylist(), (v for c in sets.column("items").chunks for v in c)))
-            own, last, out = table.select(["a", "b"]).filter(table.column("b").is_valid()).sort_by("a"), None, []
-            for a, b in zip(own.column("a").to_pylist(), own.column("b").to_pylist()):
-                if a != last:
-                    last, x = a, unpacked(packed[a].as_buffer(), width)
-                y = unpacked(packed[b].as_buffer(), width)
-                most, size = shared(x, y), len(x) + len(y)
-                chance = len(x) * len(y) / (1 << 24)
-                least = most if width == 8 else max(0, most - int(chance + 8 * chance**0.5 + 6))
-                high, low = (den * c >= num * (size - c) for c in (most, least))
-                out.append((a, b, high == low, low, most / (size - most) if size > most else 1.0))
-            return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [()] * 5, schema)], schema=schema)
-
-        return run
-
-    def compared(pairs: DataFrame, width: int) -> DataFrame:
-        pairs = cut(_dealt(pairs))
-        needs = pairs.select("g", F.col("a").alias("node")).union(pairs.select("g", "b")).distinct()
-        sets = _sets(_sources(docs, rows, needs.select("node").distinct()), k, width).join(small(cut(needs), NEEDS_ROWS), "node")
-        # one table of pairs and sets: the planner's size estimate of a cogroup is a product, which grows without end
-        both = pairs.select("g", "a", "b", F.lit(None).cast("binary").alias("items")).union(sets.select("g", "node", F.lit(None).cast("long"), "items"))
-        return both.groupBy("g").applyInArrow(with_width(width), "a long, b long, sure boolean, linked boolean, share double")
-
-    quick = cut(compared(pairs, 3))
-    again = cut(pairs.join(small(cut(quick.where("not sure").select("a", "b"))), ["a", "b"]))
-    quick = quick.where("sure").select("a", "b", "linked", "share")
-    if not again.limit(1).count():
-        return quick
-    return quick.union(cut(compared(again, 8)).select("a", "b", "linked", "share"))
+    m, n = len(nodes), np.array(list(map(len, sets)), np.int64)
+    most = common_counts(sets)
+    both = n[:, None] + n[None, :]
+    chance = n[:, None] * n[None, :] / (1 << 24) if width < 8 else np.zeros((m, m))
+    least = np.maximum(0, most - (chance + 8 * np.sqrt(chance) + 6).astype(np.int64)) if width < 8 else most
+    above = np.triu(np.ones((m, m), bool), 1)
+    may, sure = ((den * c >= num * (both - c)) & above for c in (most, least))
+    i, j = np.nonzero(sure)
+    label = np.arange(m)
+    while len(i):
+        new = label.copy()
+        low = np.minimum(label[i], label[j])
+        np.minimum.at(new, label[i], low)
+        np.minimum.at(new, label[j], low)
+        new = np.minimum(new, new[new])[label]
+        if (new == label).all():
+            break
+        label = new
+    links = [(nodes[label[v]], nodes[v]) for v in np.flatnonzero(label != np.arange(m)).tolist()]
+    i, j = np.nonzero(may & ~sure & (label[:, None] != label[None, :]))
+    return links, [(nodes[a], nodes[b]) for a, b in zip(i.tolist(), j.tolist())]
+
+
+def _solved(dealt: DataFrame, sets: DataFrame, num: int, den: int, width: int) -> DataFrame:
+    """a, b, sure of every group; dealt: g, h, node (a group is known by g and h)."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sure", pa.bool_())])
+
+    def solve(nodes: list[int], packed: list) -> Iterator[pa.RecordBatch]:
+        if len(nodes) > 1:
+            links, open_ = compared(nodes, [unpacked(p.as_buffer(), width) for p in packed], num, den, width)
+            if links or open_:
+                a, b = zip(*links, *open_)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([True] * len(links) + [False] * len(open_))], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, nodes, packed = None, [], []
+        for batch in batches:
+            for g, h, node, items in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3)):
+                if (g, h) != at:
+                    yield from solve(nodes, packed)
+                    at, nodes, packed = (g, h), [], []
+                if not nodes or node != nodes[-1]:  # copies of a node come from several tasks
+                    nodes.append(node)
+                    packed.append(items)
+        yield from solve(nodes, packed)
+
+    full = dealt.join(sets, "node").select("g", "h", "node", "items")
+    return full.repartition("g", "h").sortWithinPartitions("g", "h", "node").mapInArrow(frugal(run), "a long, b long, sure boolean")
 
 
 def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
@@ -290,102 +310,120 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k
     white space, A-Z lower-cased; fewer than k words are one shingle, and no words (null, empty or blank texts)
     make an empty set, which links with nothing. component_id is the smallest id that links reach, itself
     included. Repeated rows are documents that link. No link is lost: every key is followed to its end.
-    Only id_col and text_col are read.
+    Shingles are known by 64-bit hashes, sets by 128 bits. Only id_col and text_col are read.
     """
-    out = _grouped(docs, id_col, text_col, k, num, den)
+    out, _ = _grouped(docs, id_col, text_col, k, num, den)
     return out.select(F.col("i").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component_id", "i").alias("component_id"))
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int) -> DataFrame:
-    """i, n, node of each row of docs, with the node's component and its smallest id; these are null for empty sets."""
+def _named(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame, int]:
+    """The first pass, its nodes (node, n, least id), and the salt under which no two sets share a name."""
+    for salt in range(8):
+        first = cut(_first_pass(docs, k, salt))
+        nodes = first.where("node is not null").groupBy("node").agg(F.min("i").alias("least"), F.first("n").alias("n"), F.min("sign").alias("s"), F.max("sign").alias("t"))
+        nodes = cut(nodes)
+        if not nodes.where("s <> t").limit(1).count():
+            return first, nodes.drop("s", "t"), salt
+    raise RuntimeError("sets share names under every salt")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int) -> tuple[DataFrame, int]:
+    """i, n, node of each row of docs, with the node's component and its smallest id; these are null for empty sets. And the nodes' salt."""
     ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
-    first = cut(_first_pass(docs, k))
-    rows = first.where("block is null").select("i", "n", "node")
-    links = _links(docs, rows, _index(docs, frequent_counters(first), k, num, den), k, num, den)
+    first, nodes, salt = _named(docs, k)
+    label = _components(docs, nodes, _index(docs, frequent_counters(first), k, num, den, salt), k, num, den, salt)
 
-    least = rows.where("node is not null").groupBy("node").agg(F.min("i").alias("least"))
-    joined = connected_components(links).join(least, "node")
-    best = joined.groupBy("component").agg(F.min("least").alias("best"))
-    linked = joined.select("node", "component").join(best, "component").select("node", "component", "best")
-    of_node = least.join(linked, "node", "left").select("node", F.coalesce("component", "node").alias("component"), F.coalesce("best", "least").alias("component_id"))
-    return rows.join(of_node, "node", "left")
+    joined = nodes.select("node", "least").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    best = joined.groupBy("component").agg(F.min("least").alias("component_id"))
+    of_node = joined.join(best, "component").select("node", "component", "component_id")
+    return first.where("block is null").select("i", "n", "node").join(of_node, "node", "left"), salt
 
 
-def _links(docs: DataFrame, rows: DataFrame, index: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """a, b: links between nodes; every linked pair is connected by them, though not each has its own row."""
+def _components(docs: DataFrame, nodes: DataFrame, index: DataFrame, k: int, num: int, den: int, salt: int) -> DataFrame:
+    """node, component of nodes with links."""
     # Keys with more than one node; these sums combine before the shuffle.
-    live = index.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("key")
-    entries = cut(index.join(small(cut(live)), "key").distinct())
-    # Of a set's plain prefix, only shingles in live keys and frequent ones can be shared: an upper bound for all links.
-    bound = entries.groupBy("node").agg((F.sum((F.col("key") % 2 == 0).cast("int")) + F.max("f")).alias("ub"))
-    about = cut(bound.join(rows.where("node is not null").select("node", "n").distinct(), "node").select("node", F.struct("n", "ub").alias("s")))
-    entries = cut(entries.join(about, "node").select("key", "node", "s"))
-    lead_about = about.withColumnsRenamed({"node": "lead", "s": "ls"})
-    reach = 1 - num / den + 2e-3  # shares may be a little high
-
-    def most(x: str, y: str):
-        """The greatest share that sizes and bounds allow: shingles behind the prefixes, and those they can share."""
-        own = lambda v: F.ceil(num * F.col(f"{v}.n") / den)
-        common = F.least(F.col(f"{x}.n"), F.col(f"{y}.n"), F.least(F.col(f"{x}.ub"), F.col(f"{y}.ub")) + F.greatest(own(x), own(y)) - 1)
-        return common, F.col(f"{x}.n") + F.col(f"{y}.n") - common
-
-    def may_link(x: str, y: str):
-        common, union = most(x, y)
-        return den * common >= num * union
-
-    found, near = [], []
-    active = _with_leaders(entries, lead_about)
-    for turn in range(LEADERS):
-        # The bounds alone tell most pairs apart.
-        active = cut(active)
-        common, union = most("s", "ls")
-        fits = active.where(may_link("s", "ls"))
-        pairs = fits.select(F.col("lead").alias("a"), F.col("ls.n").alias("na"), F.col("node").alias("b"), F.col("s.n").alias("nb")).distinct()
-        seen = _compare(cut(pairs.withColumn("hub", F.col("a"))), docs, rows, k, num, den)
-        found.append(seen.where("linked").select("a", "b"))
-        told = active.join(seen.withColumnsRenamed({"a": "lead", "b": "node"}), ["lead", "node"], "left")
-        told = cut(told.select("key", "lead", "node", "s", F.coalesce("linked", F.lit(False)).alias("linked"), F.coalesce("share", F.lit(0.0)).alias("low"), F.coalesce("share", common / union).alias("high")))
-        missed = told.where("not linked").drop("linked")
-        # A node that linked the leader may still link one that missed it by little.
-        ends = missed.groupBy("key").agg(F.max("high").alias("most"))
-        close = told.where("linked").join(ends, "key").where(F.col("low") - F.col("most") <= reach).drop("linked", "most")
-        near.append((close, missed))
-        active = cut(_with_leaders(missed.select("key", "node", "s"), lead_about))
-        if not active.limit(1).count():
-            break
-        if turn == LEADERS - 1:
-            near.append((missed, missed))
-
-    label = cut(connected_components(reduce(DataFrame.union, found)))
-    more = []
-    for left, right in near:
-        a = left.join(label, "node", "left").withColumn("c", F.coalesce("component", "node")).select([F.col(c).alias(f"{c}1") for c in ("key", "lead", "node", "s", "low", "high", "c")])
-        b = right.join(label, "node", "left").withColumn("c", F.coalesce("component", "node")).select([F.col(c).alias(f"{c}2") for c in ("key", "node", "s", "low", "high", "c")])
-        far = (F.col("low1") - F.col("high2") > reach) | (F.col("low2") - F.col("high1") > reach)
-        both = a.join(b, F.expr("key1 = key2 and c1 <> c2") & ~far & may_link("s1", "s2"))
-        ends = F.struct(F.col("node1").alias("v"), F.col("s1.n").alias("n")), F.struct(F.col("node2").alias("v"), F.col("s2.n").alias("n"))
-        more.append(both.select(F.least(*ends).alias("x"), F.greatest(*ends).alias("y"), F.col("lead1").alias("hub")).select(F.col("x.v").alias("a"), F.col("x.n").alias("na"), F.col("y.v").alias("b"), F.col("y.n").alias("nb"), "hub"))
-    late = cut(reduce(DataFrame.union, more).groupBy("a", "na", "b", "nb").agg(F.min("hub").alias("hub")))
-    if late.limit(1).count():
-        found.append(_compare(late, docs, rows, k, num, den).where("linked").select("a", "b"))
-    return reduce(DataFrame.union, found)
-
-
-def _with_leaders(entries: DataFrame, lead_about: DataFrame) -> DataFrame:
-    """Entries (key, node, s) of keys that have more than one node, each with its key's leader: the node of the greatest bound."""
-    lead = entries.groupBy("key").agg(F.max(F.struct("s.ub", "node")).alias("l"), F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
-    lead = lead.select("key", F.col("l.node").alias("lead")).join(lead_about, "lead")
-    return entries.join(lead, "key").where("node <> lead")
-
-
-def _with_node(docs: DataFrame, k: int) -> DataFrame:
+    live = index.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last").select("key", "hub")
+    stars = cut(index.join(live, "key").where("node <> hub").select("hub", "node").distinct())
+    parts = F.ceil(F.greatest(F.sum("n") / GROUP_ITEMS, F.count("*") / GROUP_NODES)).alias("parts")
+    sizes = cut(stars.join(nodes.select("node", "n"), "node").groupBy("hub").agg(parts))
+    dealt = stars.join(small(sizes), "hub").select(F.col("hub").alias("g"), F.pmod(F.xxhash64("node", "hub"), F.col("parts")).alias("h"), "node")
+    dealt = dealt.union(sizes.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)), "hub"))
+    found = cut(_solved(dealt, _sets(docs, k, 3, salt), num, den, 3))
+    label = cut(connected_components(found.where("sure").select("a", "b")))
+
+    more = [found]
+    large = sizes.where("parts > 1").select("hub")
+    if large.limit(1).count():
+        members = stars.join(small(cut(large)), "hub").union(large.select("hub", "hub")).join(nodes.select("node", "n"), "node")
+        again = cut(_across(members, label))
+        more.append(cut(_solved(again, _sets(docs, k, 3, salt), num, den, 3)))
+    open_ = reduce(DataFrame.union, (d.where("not sure") for d in more)).select("a", "b").distinct()
+    open_ = cut(_apart(open_, label, "a", "b"))
+    links = [d.where("sure").select("a", "b") for d in more]
+    if open_.limit(1).count():
+        links.append(_decided(open_, _sets(docs, k, 8, salt), num, den))
+    elif len(more) == 1:
+        return label
+    known = label.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return connected_components(reduce(DataFrame.union, [known, *links[1:]]))
+
+
+def _apart(pairs: DataFrame, label: DataFrame, a: str, b: str) -> DataFrame:
+    """The pairs whose ends lie in different components so far."""
+    for c, end in (("ca", a), ("cb", b)):
+        pairs = pairs.join(label.select(F.col("node").alias(end), F.col("component").alias(c)), end, "left")
+    return pairs.where(F.coalesce("ca", a) != F.coalesce("cb", b)).drop("ca", "cb")
+
+
+def _across(members: DataFrame, label: DataFrame) -> DataFrame:
+    """g, h, node: groups in which the members of large hubs meet that are not in one component yet.
+
+    Of a hub's members those of its largest component need to meet only the others; the others meet all.
+    """
+    own = members.join(label, "node", "left").select("hub", "node", "n", F.coalesce("component", "node").alias("c"))
+    by = own.groupBy("hub", "c").agg(F.count("*").alias("count"), F.sum("n").alias("items"))
+    sums = by.groupBy("hub").agg(F.max(F.struct("count", "c", "items")).alias("main"), F.sum("count").alias("count"), F.sum("items").alias("items")).where("main.count < count")
+    blocks = lambda items, count: F.ceil(F.greatest(items / GROUP_ITEMS, count / GROUP_NODES))
+    sums = sums.select("hub", F.col("main.c").alias("main"), blocks(F.col("main.items"), F.col("main.count")).alias("mains"), blocks(F.col("items") - F.col("main.items"), F.col("count") - F.col("main.count")).alias("others"))
+    own = own.join(small(cut(sums)), "hub")
+    is_main = F.col("c") == F.col("main")
+    block = F.pmod(F.xxhash64("node", "hub"), F.when(is_main, F.col("mains")).otherwise(F.col("others")))
+    own = own.select("hub", "node", "mains", "others", is_main.alias("is_main"), block.alias("b"))
+    # pairs of blocks: (p, q) of others with p <= q, and (p, others + q) of others with mains
+    to = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    width = F.col("mains") + F.col("others")
+    with_others = F.transform(to("others"), lambda k: F.least(k, F.col("b")) * width + F.greatest(k, F.col("b")))
+    with_mains = F.transform(to("mains"), lambda k: F.col("b") * width + F.col("others") + k)
+    for_main = F.transform(to("others"), lambda k: k * width + F.col("others") + F.col("b"))
+    return own.select(F.col("hub").alias("g"), F.explode(F.when(F.col("is_main"), for_main).otherwise(F.concat(with_others, with_mains))).alias("h"), "node")
+
+
+def _decided(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """a, b of the pairs that link by whole shingles."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    own = cut(sets.join(small(cut(ends)), "node").dropDuplicates(["node"]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for p, q in zip(batch.column(2), batch.column(3)):
+                x, y = unpacked(p.as_buffer(), 8), unpacked(q.as_buffer(), 8)
+                c = shared(x, y)
+                keep.append(den * c >= num * (len(x) + len(y) - c))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    both = pairs.join(own.withColumnsRenamed({"node": "a", "items": "x"}), "a").join(own.withColumnsRenamed({"node": "b", "items": "y"}), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(frugal(run), "a long, b long")
+
+
+def _with_node(docs: DataFrame, k: int, salt: int) -> DataFrame:
     """docs with __node, the name of each row's set of shingles; null for empty sets."""
     at, names = docs.columns.index("text"), [*docs.columns, "__node"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes = [digest(s) if len(s) else None for _, sets in sets_of(batch.column(at), k) for s in sets]
+            nodes = [digest(s, salt)[0] if len(s) else None for _, sets in sets_of(batch.column(at), k) for s in sets]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], names=names)
 
     return docs.mapInArrow(frugal(run), StructType([*docs.schema.fields, StructField("__node", LongType())]))
@@ -397,14 +435,15 @@ def one_of_each(docs: DataFrame, *, k: int = 5, num: int = 80, den: int = 100) -
     Rows without an id and rows without words stay as they are. A row goes for its own text only: other texts under
     its id stay.
     """
-    found = _grouped(docs, "doc_id", "text", k, num, den).where("i is not null")
+    found, salt = _grouped(docs, "doc_id", "text", k, num, den)
+    found = cut(found.where("i is not null"))
     gone = cut(found.where("i <> component_id").select(F.col("i").alias("__gone")).distinct())
     twice = cut(found.groupBy("i").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("i").alias("__twice")))
     if not twice.limit(1).count():
         return docs.join(small(gone), F.col("doc_id") == F.col("__gone"), "left_anti")
     # ids of several rows: their rows are told apart by their sets
     single = docs.join(small(twice), F.col("doc_id") == F.col("__twice"), "left_anti").join(small(gone), F.col("doc_id") == F.col("__gone"), "left_anti")
-    several = _with_node(docs.join(small(twice), F.col("doc_id") == F.col("__twice"), "left_semi"), k)
+    several = _with_node(docs.join(small(twice), F.col("doc_id") == F.col("__twice"), "left_semi"), k, salt)
     leads = found.where("i = component_id").join(small(twice), F.col("i") == F.col("__twice"), "left_semi").select(F.col("node").alias("__n"), F.col("i").alias("__i"), F.col("component").alias("__component")).distinct()
     first = F.struct("text", *(c for c in docs.columns if c != "text"))
     once = several.join(small(cut(leads)), F.expr("__node = __n and doc_id = __i")).groupBy("__component").agg(F.min(first).alias("__r"))

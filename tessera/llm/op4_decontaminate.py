@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.llm.common import ship
-from tessera.llm.kernels import LETTER_DIGIT, LOWER, merged, prefix_hashes, slices, span_hashes, utf8, word_bounds
+from tessera.llm.kernels import LETTER_DIGIT, LOWER, merged, slices, utf8, word_bounds, word_hashes as hashes_of
 
 #: Words of a window that counts as contamination.
 WINDOW = 10
@@ -118,7 +118,7 @@ def word_hashes(texts: list[str | None]) -> list[list[int]]:
     data, offsets = utf8(pa.array(texts, pa.large_string()))
     low = LOWER[data]
     starts, ends = word_bounds(low, offsets, LETTER_DIGIT)
-    h, at = span_hashes(prefix_hashes(low), starts, ends).tolist(), np.searchsorted(starts, offsets).tolist()
+    h, at = hashes_of(low, starts, ends).tolist(), np.searchsorted(starts, offsets).tolist()
     return [h[a:b] for a, b in zip(at[:-1], at[1:])]
 
 
@@ -151,7 +151,7 @@ class Scanner:
             part, cuts = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
             low = LOWER[part]
             starts, ends = word_bounds(low, cuts, LETTER_DIGIT)
-            h, at = span_hashes(prefix_hashes(low), starts, ends), np.searchsorted(starts, cuts)
+            h, at = hashes_of(low, starts, ends), np.searchsorted(starts, cuts)
             spans: dict[int, list] = {}
             items: dict[int, set] = {}
             for auto in self.automata:
