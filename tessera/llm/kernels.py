@@ -118,26 +118,26 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 _LANES_END = 64
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     """64-bit hashes of words: lanes of eight bytes, each mixed into the hash of those before it.
 
-    Unlike sums of powers, mixing leaves no pairs of words that are known to share a hash.
+    Unlike sums of powers, mixing leaves no pairs of words that are known to share a hash. Each seed is a hash of its own.
     """
     if not len(starts):
         return np.zeros(0, _U)
     filled = np.concatenate([data, np.zeros(8, np.uint8)])
     lanes = np.ndarray((len(data) + 1,), "<u8", filled, strides=(1,))
     size = ends - starts
-    out = mix(_lane(lanes, starts, size) ^ size.astype(_U) * _U(0xD6E8FEB86659FD93))
+    out = mix(_lane(lanes, starts, size) ^ size.astype(_U) * _U(0xD6E8FEB86659FD93) ^ _U(seed))
     more = np.flatnonzero((size > 8) & (size <= _LANES_END))
     at = 8
     while len(more):
         own = _lane(lanes, starts[more] + at, size[more] - at)
-        out[more] = mix(out[more] * _U(0x9FB21C651E98DF25) ^ own)
+        out[more] = mix(out[more] * _U(0x9FB21C651E98DF25 + 2 * seed) ^ own)
         at += 8
         more = more[size[more] > at]
     for i in np.flatnonzero(size > _LANES_END).tolist():
-        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8, salt=seed.to_bytes(8, "little")).digest(), "little")
     return out
 
 

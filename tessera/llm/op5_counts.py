@@ -33,7 +33,7 @@ def file_tokenizer(path: str) -> Callable[[Column], Column]:
         from tessera.llm.op9_tokens import encoder
 
         enc = encoder(path)
-        return texts.map(lambda t: len(enc.encode(t)) // enc.width if t else 0).astype("int64")
+        return pd.Series([len(ids) // enc.width for ids in enc.encode_all([t or "" for t in texts])], dtype="int64")
 
     return lambda text: count(text.cast("string"))
 

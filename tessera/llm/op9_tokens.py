@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -27,8 +26,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import scratch, ship
-from tessera.llm.kernels import mix
+from tessera.llm.common import frugal, scratch, ship
+from tessera.llm.kernels import mix, word_hashes
 
 MAGIC = b"TESSTOK1"
 END_ID = 2
@@ -38,15 +37,15 @@ _U = np.uint64
 # ---------------------------------------------------------------- encoding
 
 
-def _plain_letters() -> tuple[str, str]:
-    """Character classes (letters, numbers) among the characters that the short way handles."""
-    letters = [chr(c) for c in _PLAIN if unicodedata.category(chr(c))[0] == "L"]
-    numbers = [chr(c) for c in _PLAIN if unicodedata.category(chr(c))[0] == "N"]
-    return "".join(map(re.escape, letters)), "".join(map(re.escape, numbers))
-
-
 #: Code points whose lower case stands alone and which composition leaves as they are.
-_PLAIN = [c for c in (*range(0x20, 0x7F), *range(0xA1, 0x180), *range(0x2010, 0x2028), *range(0x2030, 0x205F), 0x20AC) if c not in (0x130, 0x149, 0xAD)]
+_PLAIN = [9, 10, 11, 12, 13, *(c for c in (*range(0x20, 0x7F), *range(0xA1, 0x180), *range(0x2010, 0x2028), *range(0x2030, 0x205F), 0x20AC) if c not in (0x130, 0x149, 0xAD))]
+#: What a plain code point is to the pattern.
+_SPACE, _LETTER, _NUMBER, _OTHER, _ODD = range(5)
+_KIND = np.full(0x2100, _ODD, np.uint8)
+_LOW = np.arange(0x2100, dtype=np.uint32)
+for _c in _PLAIN:
+    _KIND[_c] = _SPACE if chr(_c).isspace() else {"L": _LETTER, "N": _NUMBER}.get(unicodedata.category(chr(_c).lower())[0], _OTHER)
+    _LOW[_c] = ord(chr(_c).lower())
 
 #: What the file must say for the short way to hold: the steps before the merges.
 _STEPS = {
@@ -55,65 +54,167 @@ _STEPS = {
 }
 
 
+def pattern_words(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and end of each match of the pattern above in lower-cased plain code points; the last one is white space."""
+    kind = _KIND[points]
+    before = np.concatenate([[_SPACE], kind[:-1]])
+    starts = np.flatnonzero((kind != _SPACE) & ((kind != before) | (kind == _NUMBER)))
+    after = np.concatenate([kind[1:], [_SPACE]])
+    ends = np.flatnonzero((kind != _SPACE) & ((kind != after) | (kind == _NUMBER))) + 1
+    # an apostrophe alone before one of these endings is one word with it
+    marks = np.flatnonzero((points[:-1] == ord("'")) & (before[:-1] != _OTHER) & (kind[1:] == _LETTER))
+    if len(marks):
+        x, y = points[marks + 1], points[np.minimum(marks + 2, len(points) - 1)]
+        one = np.isin(x, [ord(c) for c in "stmd"])
+        two = np.zeros(len(marks), bool)
+        for u, v in ("re", "ve", "ll"):
+            two |= (x == ord(u)) & (y == ord(v))
+        marks, grown = marks[one | two], np.where(one, 1, 2)[one | two]
+        at = np.searchsorted(starts, marks)
+        ends[at] += grown
+        starts[at + 1] += grown
+        some = starts < ends
+        starts, ends = starts[some], ends[some]
+    return starts, ends
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte: itself where it prints, else the next from U+0100 on."""
+    own = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(0x100 + i) for i, b in enumerate(rest)} | {0x20: " "}
+
+
 class Encoder:
     """A tokenizers file's ids of whole texts, as packed little-endian unsigned numbers.
 
-    Where the file splits lower-cased text into words by a known pattern before merging, each distinct word is
-    merged once and its ids are kept; texts with characters outside a plain set, or with the strings of special
-    tokens, take the library's own way. Files of another make take that way always.
+    Where the file splits lower-cased text into words by a known pattern before merging, a slice of texts is split at
+    once and each of its distinct words is merged once; the ids of words met lately are kept, by two 64-bit hashes.
+    Texts with characters outside a plain set, or with the strings of special tokens, take the library's own way. Files
+    of another make take that way always.
     """
 
-    WORDS_KEPT = 120_000
+    WORDS_KEPT, SLICE = 400_000, 1 << 20
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.own = Tokenizer.from_file(path)
         self.width = 2 if self.own.get_vocab_size(True) <= 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
         said = json.loads(open(path, encoding="utf-8").read())
         split = ((said.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        suffix = said["model"].get("end_of_word_suffix")
         self.by_word = (
             said.get("normalizer") == _STEPS["normalizer"]
             and (split.get("pattern") or {}).get("Regex") == _STEPS["pattern"]
             and split.get("behavior") == "Removed"
             and split.get("invert") is True
             and said["pre_tokenizer"]["pretokenizers"][1:] == [{"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
+            and said["model"].get("type") == "BPE"
+            and bool(suffix)
             and not said.get("truncation")
             and not said.get("padding")
         )
-        letters, numbers = _plain_letters()
-        self.words = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+")
-        marks = "|".join(re.escape(t["content"]) for t in said.get("added_tokens", []))
-        odd = "".join(map(re.escape, map(chr, _PLAIN)))
-        self.odd = re.compile(rf"[^\t\n\v\f\r{odd}]" + (f"|{marks}" if marks else ""))
-        #: Words' ids in two generations: the elder goes when the younger is full, but for words met again meanwhile.
-        self.kept: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self.marks = [t["content"] for t in said.get("added_tokens", [])]
+        if self.by_word:
+            self.merger = Tokenizer(self.own.model)
+            self.merger.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            self.letters = str.maketrans(_byte_letters())
+            vocabulary = self.own.get_vocab(True)
+            self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.is_end[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        #: Of kept words, in the order of their hash: hash, second hash, first of their ids in pool, number of ids, and the last slice that had them.
+        self.hash, self.other, self.first, self.size, self.seen = (np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
+        self.pool, self.turn = np.zeros(0, self.kind), 0
 
     def pack(self, ids: list[int]) -> bytes:
         return np.asarray(ids, self.kind).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if not self.by_word or self.odd.search(text):
-            return self.pack(self.own.encode(text, add_special_tokens=False).ids)
-        words = self.words.findall(text.lower())
-        try:
-            return b"".join(map(self.kept.__getitem__, words))
-        except KeyError:
-            if len(self.kept) > self.WORDS_KEPT:
-                self.before, self.kept = self.kept, {}
-            new = []
-            for w in set(words):
-                if w not in self.kept:
-                    if w in self.before:
-                        self.kept[w] = self.before[w]
-                    else:
-                        new.append(w)
-            for w, e in zip(new, self.own.encode_batch(new, add_special_tokens=False)):
-                self.kept[w] = self.pack(e.ids)
-            return b"".join(map(self.kept.__getitem__, words))
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text."""
+        at = 0
+        while at < len(texts):
+            end, chars = at + 1, len(texts[at])
+            while end < len(texts) and chars + len(texts[end]) <= self.SLICE:
+                chars += len(texts[end])
+                end += 1
+            yield from self._slice(texts[at:end])
+            at = end
+
+    def _library(self, text: str) -> bytes:
+        return self.pack(self.own.encode(text, add_special_tokens=False).ids)
+
+    def _slice(self, texts: list[str]) -> list[bytes]:
+        if not self.by_word:
+            return list(map(self._library, texts))
+        joined = "\n".join(texts) + "\n"
+        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+        bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        odd = np.flatnonzero((points >= len(_KIND)) | (_KIND[np.minimum(points, len(_KIND) - 1)] == _ODD))
+        apart = set((np.searchsorted(bounds, odd, "right") - 1).tolist())
+        for mark in self.marks:
+            if mark in joined:
+                apart |= {i for i, t in enumerate(texts) if mark in t}
+        if apart:
+            rest = iter(self._slice([t for i, t in enumerate(texts) if i not in apart]) if len(apart) < len(texts) else ())
+            return [self._library(t) if i in apart else next(rest) for i, t in enumerate(texts)]
+        low = _LOW[points]
+        starts, ends = pattern_words(low)
+        if not len(starts):
+            return [b""] * len(texts)
+        short = low.astype("<u2").view(np.uint8)
+        h, other = (word_hashes(short, 2 * starts, 2 * ends, seed) for seed in (0, 0x51ED270B))
+        known, first, which = np.unique(h, return_index=True, return_inverse=True)
+        if (other != other[first][which]).any() or not self._learn(low, known, other[first], starts[first], ends[first]):
+            return list(map(self._library, texts))  # two words share a hash
+        row = np.searchsorted(self.hash, known)
+        self.seen[row] = self.turn
+        begin, size = self.first[row][which], self.size[row][which]
+        total = np.concatenate([[0], np.cumsum(size)])
+        ids = self.pool[np.repeat(begin - total[:-1], size) + np.arange(total[-1])]
+        cuts = total[np.searchsorted(starts, bounds)].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+
+    def _learn(self, low: np.ndarray, known: np.ndarray, other: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bool:
+        """Merges the words that are not kept; false where one shares its hash with another."""
+        self.turn += 1
+        if len(self.hash) > self.WORDS_KEPT:
+            self._age()
+        row = np.minimum(np.searchsorted(self.hash, known), max(0, len(self.hash) - 1))
+        met = self.hash[row] == known if len(self.hash) else np.zeros(len(known), bool)
+        if (self.other[row[met]] != other[met]).any():
+            return False
+        new = np.flatnonzero(~met)
+        if len(new):
+            text = low.astype("<u4").tobytes().decode("utf-32-le")
+            words = [text[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())]
+            lines = [" ".join(words[i : i + 4096]).encode().decode("latin-1").translate(self.letters) for i in range(0, len(words), 4096)]
+            ids = np.concatenate([np.array(e.ids, self.kind) for e in self.merger.encode_batch_fast(lines, add_special_tokens=False)])
+            last = np.flatnonzero(self.is_end[ids]) + 1
+            if len(last) != len(words) or last[-1] != len(ids):
+                raise ValueError("the tokenizer's words do not end where they should")
+            at = np.searchsorted(self.hash, known[new])
+            begin = np.concatenate([[0], last[:-1]])
+            for name, own in (("hash", known[new]), ("other", other[new]), ("first", begin + len(self.pool)), ("size", last - begin), ("seen", np.full(len(new), self.turn))):
+                setattr(self, name, np.insert(getattr(self, name), at, own))
+            self.pool = np.concatenate([self.pool, ids])
+        return True
+
+    def _age(self) -> None:
+        """Keeps the half of the words that was met last."""
+        keep = np.sort(np.argsort(-self.seen, kind="stable")[: self.WORDS_KEPT // 2])
+        self.hash, self.other, self.first, self.size, self.seen = (x[keep] for x in (self.hash, self.other, self.first, self.size, self.seen))
+        total = np.concatenate([[0], np.cumsum(self.size)])
+        self.pool = self.pool[np.repeat(self.first - total[:-1], self.size) + np.arange(total[-1])]
+        self.first = total[:-1]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -357,13 +458,14 @@ def write_store(docs: DataFrame, path: str, tokenizer_file: str, *, id_col: str
         for batch in batches:
             if out is None:
                 out = ShardWriter(f"{path}/shard-{task.partitionId():05d}.tok", str(task.taskAttemptId()), enc.width)
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                out.add(key, enc.encode(text.as_py() or "") + end)
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for key, ids in zip(batch.column(0).to_pylist(), enc.encode_all(texts)):
+                out.add(key, ids + end)
         if out is not None:
             yield pa.RecordBatch.from_pylist([out.close()], schema=_SHARD)
 
     spread = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).cast("string").alias("t")).repartitionByRange("k").sortWithinPartitions("k", "t")
-    store = TokenStore([r.asDict() for r in spread.mapInArrow(write, "path string, n_rows long, n_ids long, least long, most long").collect()])
+    store = TokenStore([r.asDict() for r in spread.mapInArrow(frugal(write), "path string, n_rows long, n_ids long, least long, most long").collect()])
     if "://" not in local:
         with open(f"{local}/manifest.json", "w") as f:
             json.dump(store.shards, f)
@@ -396,7 +498,7 @@ def read_store(spark, store: TokenStore) -> DataFrame:
 
     shards = [(s["path"], s["start"]) for s in store.shards]
     d = spark.createDataFrame(shards, "path string, start long").repartition(max(1, len(shards)))
-    return d.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return d.mapInArrow(frugal(read), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

@@ -242,6 +242,21 @@ def test_token_store_round_trip(spark, tmp_path):
     assert sorted(slots.tolist()) == list(range(len(keys)))
 
 
+def test_encoder_by_the_library(monkeypatch):
+    """Random texts of plain and odd characters, in slices so small that kept words are forgotten and learnt again."""
+    enc = op9_tokens.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    monkeypatch.setattr(enc, "WORDS_KEPT", 500)
+    monkeypatch.setattr(enc, "SLICE", 3000)
+    rng = random.Random(1)
+    letters = "abstmdrevl'’“\"!?. \n\t12½²ÀÉßñŒž—…€_–"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    texts += ["", " ", "日本 it's", "<|endoftext|> a", "İ", "a" * 5000, "x y " * 3000, "'s'll're'x''s"]
+    want = [enc.pack(enc.own.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert list(enc.encode_all(texts)) == want and enc.turn > 10
+    other = op9_tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    assert not other.by_word and list(other.encode_all(texts[-8:])) == [other.pack(other.own.encode(t, add_special_tokens=False).ids) for t in texts[-8:]]
+
+
 def test_read_store_probes_the_index(spark, tmp_path):
     rng = random.Random(8)
     d = docs(spark, [(rng.choice([None, rng.randint(-50, 50), rng.randint(-(1 << 62), 1 << 62)]), f"text {i}") for i in range(400)])
