@@ -9,7 +9,9 @@ with the set's size, so the pairs stay a fraction of the set.
 A key with several nodes is not expanded into its pairs: its nodes become members of the key's hub, its least node.
 Nodes that share a key share a hub, so comparing the members of each hub loses no link. A hub of bounded size is one
 group. The members of a larger one are dealt into blocks, the hub itself into each; where blocks of a hub then still
-lie in different components, blocks meet blocks. Sets are read from the texts once and sent to their groups.
+lie in different components, blocks meet blocks. A group first compares small sketches of its members: how many of a
+set's shingles fall into each range of hashes, which bounds from above what two sets can share. Only members for which
+that leaves a partner send their sets, read again from the texts.
 """
 
 from __future__ import annotations
@@ -100,30 +102,69 @@ def keys(s: np.ndarray, hot: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate([np.unique(single), odd])
 
 
+def ranges_of(s: np.ndarray) -> bytes:
+    """How many items of a set fall into each of 2^b equal ranges, some 8 to 16 in the mean; 255 stands for 255 or more."""
+    bits = max(4, len(s).bit_length() - 4)
+    return np.minimum(np.bincount((s >> _U(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def with_partner(sizes: np.ndarray, ranges: list[bytes], num: int, den: int) -> np.ndarray:
+    """Which sets may link another of the group: two sets share at most the sum of the lesser counts of each range.
+
+    Linked sets' numbers of ranges are equal or differ by a factor of two; the finer one is then added up in pairs.
+    """
+    keep, levels = np.zeros(len(sizes), bool), {}
+    for i, r in enumerate(ranges):
+        levels.setdefault(len(r), []).append(i)
+
+    def grid(own: list[int]) -> np.ndarray:
+        counts = np.frombuffer(b"".join(ranges[i] for i in own), np.uint8).reshape(len(own), -1).astype(np.int32)
+        return np.where(counts == 255, 1 << 24, counts)
+
+    def meet(one: np.ndarray, i: int, many: np.ndarray, others: np.ndarray) -> None:
+        common = np.minimum(np.minimum(one, many).sum(axis=1), np.minimum(sizes[i], sizes[others]))
+        fits = den * common >= num * (sizes[i] + sizes[others] - common)
+        if fits.any():
+            keep[i] = True
+            keep[others[fits]] = True
+
+    for width, own in levels.items():
+        counts, below = grid(own), np.array(levels.get(width // 2, []), np.int64)
+        lesser = grid(below.tolist()) if len(below) else None
+        numbers = np.array(own)
+        for at, i in enumerate(own):
+            if at + 1 < len(own):
+                meet(counts[at], i, counts[at + 1 :], numbers[at + 1 :])
+            if lesser is not None:
+                meet(counts[at].reshape(-1, 2).sum(axis=1), i, lesser, below)
+    return keep
+
+
 def _first_pass(docs: DataFrame, k: int, salt: int) -> DataFrame:
-    """One row for each document (i, n, node, sign) and, for each task, its part of the frequency sketch (block, counts)."""
-    schema = pa.schema([("i", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("sign", pa.int64()), ("block", pa.int32()), ("deal", pa.int32()), ("counts", pa.binary())])
+    """One row for each document (i, n, node, sign, ranges) and, for each task, its part of the frequency sketch (block, counts)."""
+    schema = pa.schema([("i", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("sign", pa.int64()), ("ranges", pa.binary()), ("block", pa.int32()), ("deal", pa.int32()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         counts = np.zeros(1 << COUNTERS_BITS, np.int64)
         for batch in batches:
-            n, names = [], []
+            n, names, ranges = [], [], []
             for _, sets in sets_of(batch.column(1), k):
                 n += map(len, sets)
+                ranges += [ranges_of(s) if len(s) else None for s in sets]
                 names += [digest(s, salt) if len(s) else (None, None) for s in sets]
                 if sets:
                     counts += np.bincount((np.concatenate(sets) >> _U(64 - COUNTERS_BITS)).astype(np.int64), minlength=len(counts))
             none = pa.nulls(len(n))
             node, sign = zip(*names) if names else ((), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(sign, pa.int64()), none.cast(pa.int32()), none.cast(pa.int32()), none.cast(pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(sign, pa.int64()), pa.array(ranges, pa.binary()), none.cast(pa.int32()), none.cast(pa.int32()), none.cast(pa.binary())], schema=schema)
         parts = counts.reshape(-1, BLOCK)
         some = [j for j, c in enumerate(parts) if c.any()]
         none, deal = pa.nulls(len(some)).cast(pa.int64()), TaskContext.get().partitionId() % 64
-        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(some, pa.int32()), pa.array([deal] * len(some), pa.int32()), pa.array([_pack(parts[j]) for j in some], pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(some), pa.binary()), pa.array(some, pa.int32()), pa.array([deal] * len(some), pa.int32()), pa.array([_pack(parts[j]) for j in some], pa.binary())], schema=schema)
 
-    return docs.mapInArrow(frugal(run), "i long, n long, node long, sign long, block int, deal int, counts binary")
+    return docs.mapInArrow(frugal(run), "i long, n long, node long, sign long, ranges binary, block int, deal int, counts binary")
 
 
 def _pack(counts: np.ndarray) -> bytes:
@@ -276,11 +317,44 @@ def compared(nodes: list[int], sets: list[np.ndarray], num: int, den: int, width
     return links, [(nodes[a], nodes[b]) for a, b in zip(i.tolist(), j.tolist())]
 
 
-def _solved(dealt: DataFrame, sets: DataFrame, num: int, den: int, width: int) -> DataFrame:
+def _by_group(batches: Iterator[pa.RecordBatch], solve) -> Iterator[pa.RecordBatch]:
+    """solve(group, nodes, values) of each run of rows g, h, node, value; of equal nodes one counts."""
+    at, nodes, values = None, [], []
+    for batch in batches:
+        for g, h, node, value in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3)):
+            if (g, h) != at:
+                yield from solve(at, nodes, values)
+                at, nodes, values = (g, h), [], []
+            if not nodes or node != nodes[-1]:  # copies of a node come from several tasks
+                nodes.append(node)
+                values.append(value)
+    yield from solve(at, nodes, values)
+
+
+def _hopeful(dealt: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """g, h, node of the members that may have a partner in their group, by their sketches."""
+    schema = pa.schema([("g", pa.int64()), ("h", pa.int64()), ("node", pa.int64())])
+
+    def solve(at, nodes: list[int], values: list) -> Iterator[pa.RecordBatch]:
+        if len(nodes) > 1:
+            kept = with_partner(np.array([v["n"].as_py() for v in values]), [v["ranges"].as_py() for v in values], num, den)
+            own = np.array(nodes, np.int64)[kept]
+            if len(own):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), at[0])), pa.array(np.full(len(own), at[1])), pa.array(own)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _by_group(batches, solve)
+
+    full = dealt.join(nodes, "node").select("g", "h", "node", F.struct("n", "ranges").alias("v"))
+    return full.repartition("g", "h").sortWithinPartitions("g", "h", "node").mapInArrow(frugal(run), "g long, h long, node long")
+
+
+def _solved(dealt: DataFrame, nodes: DataFrame, sets: DataFrame, num: int, den: int, width: int) -> DataFrame:
     """a, b, sure of every group; dealt: g, h, node (a group is known by g and h)."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sure", pa.bool_())])
+    near = cut(_hopeful(dealt, nodes, num, den))
 
-    def solve(nodes: list[int], packed: list) -> Iterator[pa.RecordBatch]:
+    def solve(_, nodes: list[int], packed: list) -> Iterator[pa.RecordBatch]:
         if len(nodes) > 1:
             links, open_ = compared(nodes, [unpacked(p.as_buffer(), width) for p in packed], num, den, width)
             if links or open_:
@@ -288,18 +362,10 @@ def _solved(dealt: DataFrame, sets: DataFrame, num: int, den: int, width: int) -
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([True] * len(links) + [False] * len(open_))], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, nodes, packed = None, [], []
-        for batch in batches:
-            for g, h, node, items in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3)):
-                if (g, h) != at:
-                    yield from solve(nodes, packed)
-                    at, nodes, packed = (g, h), [], []
-                if not nodes or node != nodes[-1]:  # copies of a node come from several tasks
-                    nodes.append(node)
-                    packed.append(items)
-        yield from solve(nodes, packed)
-
-    full = dealt.join(sets, "node").select("g", "h", "node", "items")
+        return _by_group(batches, solve)
+
+    own = sets.join(small(cut(near.select("node").distinct())), "node")
+    full = near.join(own, "node").select("g", "h", "node", "items")
     return full.repartition("g", "h").sortWithinPartitions("g", "h", "node").mapInArrow(frugal(run), "a long, b long, sure boolean")
 
 
@@ -317,10 +383,10 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k
 
 
 def _named(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame, int]:
-    """The first pass, its nodes (node, n, least id), and the salt under which no two sets share a name."""
+    """The first pass, its nodes (node, n, ranges, least id), and the salt under which no two sets share a name."""
     for salt in range(8):
         first = cut(_first_pass(docs, k, salt))
-        nodes = first.where("node is not null").groupBy("node").agg(F.min("i").alias("least"), F.first("n").alias("n"), F.min("sign").alias("s"), F.max("sign").alias("t"))
+        nodes = first.where("node is not null").groupBy("node").agg(F.min("i").alias("least"), F.first("n").alias("n"), F.first("ranges").alias("ranges"), F.min("sign").alias("s"), F.max("sign").alias("t"))
         nodes = cut(nodes)
         if not nodes.where("s <> t").limit(1).count():
             return first, nodes.drop("s", "t"), salt
@@ -349,7 +415,7 @@ def _components(docs: DataFrame, nodes: DataFrame, index: DataFrame, k: int, num
     sizes = cut(stars.join(nodes.select("node", "n"), "node").groupBy("hub").agg(parts))
     dealt = stars.join(small(sizes), "hub").select(F.col("hub").alias("g"), F.pmod(F.xxhash64("node", "hub"), F.col("parts")).alias("h"), "node")
     dealt = dealt.union(sizes.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)), "hub"))
-    found = cut(_solved(dealt, _sets(docs, k, 3, salt), num, den, 3))
+    found = cut(_solved(dealt, nodes.select("node", "n", "ranges"), _sets(docs, k, 3, salt), num, den, 3))
     label = cut(connected_components(found.where("sure").select("a", "b")))
 
     more = [found]
@@ -357,7 +423,7 @@ def _components(docs: DataFrame, nodes: DataFrame, index: DataFrame, k: int, num
     if large.limit(1).count():
         members = stars.join(small(cut(large)), "hub").union(large.select("hub", "hub")).join(nodes.select("node", "n"), "node")
         again = cut(_across(members, label))
-        more.append(cut(_solved(again, _sets(docs, k, 3, salt), num, den, 3)))
+        more.append(cut(_solved(again, nodes.select("node", "n", "ranges"), _sets(docs, k, 3, salt), num, den, 3)))
     open_ = reduce(DataFrame.union, (d.where("not sure") for d in more)).select("a", "b").distinct()
     open_ = cut(_apart(open_, label, "a", "b"))
     links = [d.where("sure").select("a", "b") for d in more]

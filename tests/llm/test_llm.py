@@ -298,12 +298,10 @@ def test_columns_by_brute_force():
 
 
 def test_repeats_by_brute_force(spark, monkeypatch):
-    """With groups so small that whole segments, the column-wise order and counted windows all decide spans."""
+    """With groups so small that whole segments, the order of an anchor's segments and that of slices all decide spans."""
     monkeypatch.setattr(op10_substrings, "GROUP", 3)
-    ran, counted, ordered = {}, op10_substrings._counted, op10_substrings._ordered
-    keep = lambda name, f: lambda found: ran.setdefault(name, f(found))
-    monkeypatch.setattr(op10_substrings, "_counted", keep("counted", counted))
-    monkeypatch.setattr(op10_substrings, "_ordered", keep("ordered", ordered))
+    ran, ordered = [], op10_substrings._ordered
+    monkeypatch.setattr(op10_substrings, "_ordered", lambda found: ran.append(ordered(found)) or ran[-1])
     rng, length = random.Random(9), op10_substrings.LENGTH
     some = lambda n: "".join(rng.choice("abcdefgh ijé") for _ in range(n))
     often, pair, whole = some(520), some(480), some(900)
@@ -312,7 +310,29 @@ def test_repeats_by_brute_force(spark, monkeypatch):
     raw = [(t or "").encode() for _, t in texts]
     count = collections.Counter(x[s : s + length] for x in raw for s in range(len(x) - length + 1))
     gone = [merged([(s, s + length) for s in range(len(x) - length + 1) if count[x[s : s + length]] > 1]) for x in raw]
-    got = {r.doc_id: (r.n_removed, r.n_spans, bytes(r.kept)) for r in op10_substrings.repeats(docs(spark, texts)).collect()}
+    got = {r.doc_id: (r.n_removed, r.n_spans, bytes(r.kept)) for r in op10_substrings.repeats(docs(spark, texts), kept=True).collect()}
     kept = [b"".join(x[a:b] for a, b in zip([0] + [e for _, e in g], [s for s, _ in g] + [len(x)])) for x, g in zip(raw, gone)]
     assert got == {i: (len(x) - len(k), len(g), k) for i, (x, k, g) in enumerate(zip(raw, kept, gone))}
-    assert sum(map(len, gone)) == 12 and all(ran[name].count() for name in ("counted", "ordered"))
+    assert sum(map(len, gone)) == 12 and len(ran) == 2 and all(d.count() for d in ran)
+
+
+def test_sketches_lose_no_link():
+    """Members that link another of their group are kept, whatever the sizes; unlike sets are mostly left."""
+    rng = np.random.default_rng(5)
+    for trial in range(60):
+        base = rng.integers(0, 1 << 63, int(rng.integers(1, 700)), dtype=np.uint64) * np.uint64(2)
+        sets = []
+        for _ in range(12):
+            some = base[rng.random(len(base)) < rng.choice([0.8, 0.93, 1])]
+            sets.append(np.unique(np.concatenate([some, rng.integers(0, 1 << 63, int(rng.integers(0, 1 + len(base) // 8)), dtype=np.uint64), base[:1]])))
+        if trial % 3 == 0:  # many items in one range
+            sets = [s >> np.uint64(40) for s in sets]
+        n = np.array(list(map(len, sets)))
+        kept = op2_jaccard.with_partner(n, [op2_jaccard.ranges_of(s) for s in sets], 85, 100)
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets):
+                both = len(np.intersect1d(x, y))
+                if i != j and 100 * both >= 85 * (len(x) + len(y) - both):
+                    assert kept[i] and kept[j]
+    apart = [np.sort(rng.integers(0, 1 << 63, 400, dtype=np.uint64) * np.uint64(2)) for _ in range(30)]
+    assert op2_jaccard.with_partner(np.full(30, 400), [op2_jaccard.ranges_of(s) for s in apart], 85, 100).sum() <= 2
