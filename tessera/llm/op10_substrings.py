@@ -7,6 +7,9 @@ kept once, those of one anchor are laid side by side and their Burrows-Wheeler o
 the right: each round inserts one symbol of every segment and updates the order of the collection's suffixes and the
 column where each first differs from the one before it. A window repeats where that column lies 400 or more ahead.
 The columns stand in a file that is read once, in sequence, so memory holds a few numbers a segment.
+
+Of an anchor with very many segments, windows that reach alike far to its left form a slice; they all hold one core of
+391 bytes. The slices' pieces are grouped by their cores and ordered in the same way.
 """
 
 from __future__ import annotations
@@ -17,17 +20,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tessera.llm.common import cut, ship, small
+from tessera.llm.common import cut, frugal, ship, small
 from tessera.llm.kernels import merged, mix, prefix_hashes, slices, span_hashes, utf8
 
 _U = np.uint64
 LENGTH, ANCHOR = 400, 150
-#: Distinct segments of one anchor up to which they are ordered in one task; more are counted window by window.
+#: Distinct segments of one anchor up to which they are ordered together; those of more are cut into slices first.
 GROUP = 4096
+#: Window starts in a slice.
+SLICE = 10
 #: Bytes of segments that are ordered at once.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 4 << 20
 #: Text names up to which a list of needed texts is broadcast; longer lists are joined.
 NEEDED = 4_000_000
 
@@ -171,7 +176,7 @@ def _occurrences(texts: DataFrame) -> DataFrame:
                 if len(text):
                     yield pa.RecordBatch.from_arrays([pa.array(v) for v in (h, whole, names[i:j][text], p, a, b)], schema=schema)
 
-    return texts.mapInArrow(run, "anchor long, seg long, x long, p long, a long, b long")
+    return texts.mapInArrow(frugal(run), "anchor long, seg long, x long, p long, a long, b long")
 
 
 def _needed(texts: DataFrame, names: DataFrame) -> DataFrame:
@@ -184,7 +189,7 @@ def _needed(texts: DataFrame, names: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(np.isin(batch.column(0).to_numpy(), sent.value)))
 
-    return texts.mapInArrow(run, "x long, t string")
+    return texts.mapInArrow(frugal(run), "x long, t string")
 
 
 def _cut_out(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -204,7 +209,7 @@ def _cut_out(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     found = _needed(texts, cut(listed.select("x"))).groupBy("x").agg(F.first("t").alias("t")).join(listed, "x")
-    return found.select("x", "t", "s").mapInArrow(run, "anchor long, seg long, x long, p long, low long, once boolean, crowded boolean, body binary")
+    return found.select("x", "t", "s").mapInArrow(frugal(run), "anchor long, seg long, x long, p long, low long, once boolean, crowded boolean, body binary")
 
 
 _SPAN = pa.schema([("x", pa.int64()), ("first", pa.int64()), ("end", pa.int64())])
@@ -236,41 +241,66 @@ def _ordered(found: DataFrame) -> DataFrame:
         if rows:
             yield from solve(rows)
 
-    near = found.where("not crowded").select("anchor", "x", "p", "low", "once", "body").repartition("anchor").sortWithinPartitions("anchor")
-    return near.mapInArrow(run, "x long, first long, end long")
+    near = found.select("anchor", "x", "p", "low", "once", "body").repartition("anchor").sortWithinPartitions("anchor")
+    return near.mapInArrow(frugal(run), "x long, first long, end long")
+
+
+def pieces(body: bytes, low: int) -> Iterator[tuple[int, int, bytes]]:
+    """Slice number, first window start (counted from the anchor) and bytes of each slice of a segment."""
+    last = low + len(body) - LENGTH
+    for j in range(-last // SLICE, -low // SLICE + 1):
+        first, end = max(low, -j * SLICE - SLICE + 1), min(last, -j * SLICE)
+        if first <= end:
+            yield j, first, body[first - low : end - low + LENGTH]
 
 
-def _counted(found: DataFrame) -> DataFrame:
-    """Spans of the segments of crowded anchors: every window by its own hash, counted across the cluster."""
-    schema = pa.schema([("anchor", pa.int64()), ("w", pa.int64()), ("w2", pa.int64()), ("x", pa.int64()), ("first", pa.int64())])
+def _sliced(found: DataFrame) -> DataFrame:
+    """The pieces of crowded anchors' segments as rows of their own, under a name of anchor, slice and core instead of the anchor's."""
+    schema = pa.schema([("anchor", pa.int64()), ("x", pa.int64()), ("p", pa.int64()), ("low", pa.int64()), ("once", pa.bool_()), ("body", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for anchor, x, p, low, body in zip(*(c.to_pylist() for c in batch.columns)):
-                raw = np.frombuffer(body, np.uint8)
-                at = np.arange(len(raw) - LENGTH + 1)
-                h = span_hashes(prefix_hashes(raw), at, at + LENGTH)
-                h2 = span_hashes(prefix_hashes(raw ^ 0x5A), at, at + LENGTH)
-                where = (at + low).astype(_U) * _U(0x9FB21C651E98DF25)
-                n = len(at)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, anchor)), pa.array(mix(h + where).view(np.int64)), pa.array(h2.view(np.int64)), pa.array(np.full(n, x)), pa.array(at + p + low)], schema=schema)
+            rows = []
+            for anchor, x, p, low, once, body in zip(*(c.to_pylist() for c in batch.columns)):
+                for j, first, piece in pieces(body, low):
+                    core = piece[-j * SLICE - first : -j * SLICE - first + LENGTH - SLICE + 1]
+                    name = hashlib.blake2b(core, digest_size=8, key=(anchor & (1 << 64) - 1).to_bytes(8, "little"), salt=j.to_bytes(8, "little")).digest()
+                    rows.append((int.from_bytes(name, "little", signed=True), x, p, first, once, piece))
+                if len(rows) > 4096:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                    rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    crowd = found.where("crowded").select("anchor", "x", "p", "low", "once", "body")
+    return crowd.mapInArrow(frugal(run), "anchor long, x long, p long, low long, once boolean, body binary")
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """i, x, t of each row; x names a text, by a salt under which no two texts share a name."""
+    for salt in range(8):
+        texts = docs.withColumn("x", F.xxhash64(F.lit(salt), "t", F.octet_length("t")))
+        twice = texts.groupBy("x").agg(F.min(_sign()).alias("s"), F.max(_sign()).alias("e")).where("s <> e")
+        if not twice.limit(1).count():
+            return texts.select("i", "x", "t")
+    raise RuntimeError("texts share names under every salt")
+
 
-    each = found.where("crowded").select("anchor", "x", "p", "low", "body").mapInArrow(run, "anchor long, w long, w2 long, x long, first long")
-    sums = each.groupBy("anchor", "w", "w2").agg(F.count("*").alias("n"), F.min(F.struct("x", "first")).alias("one")).where("n > 1").select("anchor", "w", "w2")
-    return each.join(sums, ["anchor", "w", "w2"]).select("x", "first", (F.col("first") + LENGTH).alias("end"))
+def _sign() -> Column:
+    return F.xxhash64(F.reverse("t"), F.lit("sign"))
 
 
-def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept of each row of docs.
+def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", kept: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row of docs, and kept, what is left, as bytes, where asked for.
 
     Texts are UTF-8 bytes (null: empty). A byte goes when a 400-byte string over it also starts at another place,
     in another text or its own; strings are judged on the input. Copies of a text, and repeated rows, are texts of
-    their own, so both lose what they share. Texts under 400 bytes stay whole. kept is what is left, as bytes.
-    Only id_col and text_col are read.
+    their own, so both lose what they share. Texts under 400 bytes stay whole. Equal texts are known by 128 bits, segments
+    that are equal as a whole by 128 bits of anchor and segment. Only id_col and text_col are read.
     """
     ship(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    texts = docs.select(F.col(id_col).cast("long").alias("i"), F.xxhash64(text, F.octet_length(text)).alias("x"), text.alias("t"))
+    texts = _named(docs.select(F.col(id_col).cast("long").alias("i"), text.alias("t")))
     long = texts.where(F.octet_length("t") >= LENGTH).select("x", "t")
     every = cut(_occurrences(long))
 
@@ -284,12 +314,13 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     crowd = by_seg.groupBy("anchor").agg(F.count("*").alias("segs"), F.min("n").alias("least")).where("segs > 1 and least = 1")
     wanted = by_seg.join(crowd, "anchor").select("anchor", "seg", "x", "p", "a", "b", (F.col("n") == 1).alias("once"), (F.col("segs") > GROUP).alias("crowded"))
     found = cut(_cut_out(long, wanted))
-    spans = whole.union(_ordered(found))
+    spans = whole.union(_ordered(found.where("not crowded")))
     if found.where("crowded").limit(1).count():
-        spans = spans.union(_counted(found).distinct())
+        spans = spans.union(_ordered(_sliced(found)))
     spans = spans.distinct().groupBy("x").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
 
-    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
+    schema = [pa.field("doc_id", pa.int64()), pa.field("n_bytes", pa.int64()), pa.field("n_removed", pa.int64()), pa.field("n_spans", pa.int64()), pa.field("kept_sha256", pa.string())]
+    schema = pa.schema([*schema, pa.field("kept", pa.binary())] if kept else schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -300,9 +331,10 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
                 for a, b in gone:
                     parts.append(raw[at:a])
                     at = b
-                kept = b"".join([*parts, raw[at:]])
-                rows.append((len(raw), len(raw) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept))
+                left = b"".join([*parts, raw[at:]])
+                rows.append((len(raw), len(raw) - len(left), len(gone), hashlib.sha256(left).hexdigest(), *([left] if kept else [])))
             if rows:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, f.type) for c, f in zip(zip(*rows), list(schema)[1:]))], schema=schema)
 
-    return texts.join(spans, "x", "left").select("i", "t", "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    kinds = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * kept
+    return texts.join(spans, "x", "left").select("i", "t", "spans").mapInArrow(frugal(run), kinds)

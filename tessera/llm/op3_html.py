@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import ship
+from tessera.llm.common import frugal, ship
 
 #: Elements whose content is not text of the page.
 UNSEEN = frozenset("script style noscript template head title svg math object embed iframe canvas audio video map".split())
@@ -288,4 +288,4 @@ def extract(pages: DataFrame) -> DataFrame:
             texts = [main_text(x.as_py()) for x in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.string()), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], schema=_OUT)
 
-    return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(frugal(run), "page_id long, url string, text string, n_chars long")

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import ship
+from tessera.llm.common import frugal, ship
 from tessera.llm.kernels import LETTER_DIGIT, LOWER, merged, slices, utf8, word_bounds, word_hashes as hashes_of
 
 #: Words of a window that counts as contamination.
@@ -225,7 +225,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
             if rows:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, f.type) for c, f in zip(zip(*rows), list(_FOUND)[1:]))], schema=_FOUND)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(frugal(run), "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, most_coverage: float = 0.5) -> DataFrame:
@@ -262,7 +262,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, schema)], schema=schema)
 
     cols = [F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"), F.col("source").cast("string"), F.col("n_chars").cast("long")]
-    return docs.select(*cols).mapInArrow(run, "doc_id long, text string, lang string, source string, n_chars long")
+    return docs.select(*cols).mapInArrow(frugal(run), "doc_id long, text string, lang string, source string, n_chars long")
 
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

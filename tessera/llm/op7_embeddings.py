@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import connected_components, cut, ship, small
+from tessera.llm.common import connected_components, cut, frugal, ship, small
 from tessera.llm.kernels import mix
 
 #: Chance that a pair at the limit meets in a table.
@@ -120,7 +120,7 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     bits, tables = tables_for(n, limit)
     sent = spark.sparkContext.broadcast(Coder(width, bits, tables))
 
-    base = cut(nodes.select("node", "w", "v").mapInArrow(_encode(sent), "node long, w long, v binary, code long, buckets array<long>"))
+    base = cut(nodes.select("node", "w", "v").mapInArrow(frugal(_encode(sent)), "node long, w long, v binary, code long, buckets array<long>"))
     entries = base.select("node", "code", F.posexplode("buckets").alias("t", "bucket"))
     core = cut(_cores(base, entries, sent, limit))
     links = cut(_cross_links(base, entries, core, sent, limit))
@@ -183,7 +183,7 @@ def _cores(base: DataFrame, entries: DataFrame, sent, limit: float) -> DataFrame
 
     v = base.select(F.col("node"), "v")
     both = near.join(v, "node").join(v.withColumnsRenamed({"node": "lead", "v": "lv"}), "lead").select("node", "lead", "v", "lv")
-    found = both.mapInArrow(run, "node long, lead long").groupBy("node").agg(F.min("lead").alias("lead"))
+    found = both.mapInArrow(frugal(run), "node long, lead long").groupBy("node").agg(F.min("lead").alias("lead"))
     return base.select("node").join(found, "node", "left").select("node", F.coalesce("lead", "node").alias("core"))
 
 

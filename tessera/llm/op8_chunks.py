@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import cut, ship, small
+from tessera.llm.common import cut, frugal, ship, small
 from tessera.llm.kernels import mix, prefix_hashes, slices, span_hashes, utf8
 
 #: The gear table: a byte's random 32-bit number.
@@ -107,7 +107,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ru
                 row, a, digest = row[new], a[new], digest[new]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (digest, ids[row], names[row], a)], schema=schema)
 
-    every = docs.mapInArrow(split, "digest long, i long, x long, at long")
+    every = docs.mapInArrow(frugal(split), "digest long, i long, x long, at long")
     # Digests of more than one id, with the smallest; the sums combine before the shuffle.
     shared = every.groupBy("digest").agg(F.min("i").alias("first"), F.max("i").alias("last")).where("first <> last")
     shared = cut(shared.select("digest", "first"))
@@ -146,4 +146,4 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ru
 
     runs = runs.withColumnsRenamed({"i": "ri", "x": "rx"})
     joined = docs.join(runs, (F.col("x") == F.col("rx")) & (F.coalesce("i", F.lit(_NONE)) == F.col("ri")), "left")
-    return joined.select("i", "t", "ats").mapInArrow(apply, "doc_id long, n_bytes long, n_chunks long, n_repeated long, n_removed long, kept_sha256 string, kept binary")
+    return joined.select("i", "t", "ats").mapInArrow(frugal(apply), "doc_id long, n_bytes long, n_chunks long, n_repeated long, n_removed long, kept_sha256 string, kept binary")

@@ -54,7 +54,7 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op10_substrings.repeats(_read(spark, sf_dir, "documents")).drop("kept")
+    return op10_substrings.repeats(_read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
