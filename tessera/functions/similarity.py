@@ -13,19 +13,28 @@ from pyspark.sql import Column, functions as F
 from pyspark.sql.functions import pandas_udf
 
 
-def lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence: a bit for each character of a, one addition for each of b."""
-    if not a or not b:
-        return 0
+def _places(a: str) -> dict[str, int]:
+    """For each character the bits of its places."""
     where: dict[str, int] = {}
     for i, ch in enumerate(a):
         where[ch] = where.get(ch, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    row = full
+    return where
+
+
+def _lcs(where: dict[str, int], n: int, b: str) -> int:
+    """lcs of b and a text of n characters that stand at the given places."""
+    row = full = (1 << n) - 1
     for ch in b:
-        hit = row & where.get(ch, 0)
-        row = (row + hit | row - hit) & full
-    return len(a) - row.bit_count()
+        if hit := row & where.get(ch, 0):
+            row = (row + hit | row - hit) & full
+    return n - row.bit_count()
+
+
+def lcs(a: str, b: str) -> int:
+    """Length of the longest common subsequence: a bit for each character of a, one addition for each of b."""
+    if a == b:
+        return len(a)
+    return _lcs(_places(a), len(a), b) if a and b else 0
 
 
 def ratio(a: str, b: str) -> float:
@@ -33,8 +42,13 @@ def ratio(a: str, b: str) -> float:
     return 2 * lcs(a, b) / total if total else 1.0
 
 
+@lru_cache(1 << 12)
+def _in_order(a: str) -> str:
+    return " ".join(sorted(a.split()))
+
+
 def token_sort_ratio(a: str, b: str) -> float:
-    return ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
+    return ratio(_in_order(a), _in_order(b))
 
 
 def token_set_ratio(a: str, b: str) -> float:
@@ -71,25 +85,20 @@ def partial_ratio(a: str, b: str) -> float:
 
 
 def _windows(short: str, long: str) -> float:
-    """Windows slide by one character; the characters in common bound a window's ratio, so few are worth the subsequence."""
-    m, n, best = len(short), len(long), 0.0
-    need: dict[str, int] = {}
-    for ch in short:
-        need[ch] = need.get(ch, 0) + 1
-    common = 0
-    for end in range(1, n + m):
-        if end <= n and (ch := long[end - 1]) in need:
-            common += need[ch] > 0
-            need[ch] -= 1
-        if end > m and (ch := long[end - m - 1]) in need:
-            need[ch] += 1
-            common -= need[ch] > 0
+    """The best window that ends at each place in turn. From one window to the next the subsequence grows by one at most, so
+    after a poor window those that cannot reach the best are left out."""
+    m, n, best, end = len(short), len(long), 0.0, 1
+    where = _places(short)
+    while end < n + m:
         start = max(0, end - m)
         size = min(end, n) - start
-        if 2 * common / (m + size) > best:
-            best = max(best, ratio(short, long[start : start + size]))
-            if best == 1.0:
-                break
+        common = _lcs(where, m, long[start : start + size])
+        best = max(best, 2 * common / (m + size))
+        if best == 1.0:
+            break
+        at, end = end, end + 1
+        while end < n + m and 2 * (common + end - at) <= best * (m + min(end, n) - max(0, end - m)):
+            end += 1
     return best
 
 

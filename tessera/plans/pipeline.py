@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -19,7 +19,7 @@ class Settings:
 
     max_block: int = blocking.MAX_BLOCK
     rare_limit: int = blocking.RARE_LIMIT
-    tfidf: bool = False
+    tfidf: bool = True
     tfidf_k: int = 20
     seed: int = 42
     validation_fraction: float = 0.25
@@ -34,7 +34,7 @@ def candidates(left: DataFrame, right: DataFrame, s: Settings) -> DataFrame:
         return blocking.flagged(found)
     found = found.withColumn("score", F.lit(None).cast("double"))
     for column in ("name_alnum", "address_alnum"):
-        found = found.unionByName(retrieval.retrieve(left, right, column, k=s.tfidf_k))
+        found = found.unionByName(retrieval.retrieve(left, right, column, k=s.tfidf_k).drop("rank"))
     return blocking.flagged(found)
 
 
@@ -56,7 +56,7 @@ def link(left: DataFrame, right: DataFrame, *, model: PairModel | None = None, t
     """source1_entity_id, matched_entity_ids for every left record; the fixed rule scores where no model is given."""
     s = settings or Settings()
     if max_block is not None:
-        s.max_block = max_block
+        s = replace(s, max_block=max_block)
     l, r = normalized(left), normalized(right)
     model = model or PairModel("rule", [])
     table = feature_table(l, r, s, idf or idf_tables(l, r), RULE_COLUMNS if model.name == "rule" else None)

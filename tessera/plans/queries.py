@@ -11,10 +11,8 @@ from tessera.functions.similarity import similarities
 from tessera.functions.text import normalized
 from tessera.operators import audit, blocking, decide, features, models, retrieval, sampling, validate
 from tessera.plans import entities
+from tessera.plans.pipeline import Settings, candidates, link
 
-#: Block size of the queries that are compared with SQL, which count both other sources together; the others take
-#: blocking.MAX_BLOCK for each source.
-CAP = 20
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
 _sql: dict[str, str] = {}
@@ -48,7 +46,7 @@ def _sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _candidates(spark: SparkSession, sf: str, **kw) -> DataFrame:
-    return blocking.pairs_by_rule(*_sides(spark, sf), **{"max_block": CAP, "apart": False, **kw})
+    return blocking.pairs_by_rule(*_sides(spark, sf), **kw)
 
 
 # ---------------------------------------------------------------- records
@@ -76,7 +74,7 @@ def postal_token(spark, sf):
 
 # ---------------------------------------------------------------- blocking
 
-_POSTINGS = """, posts as (
+_POSTINGS = """, posts as materialized (
   select entity_id, rule, key, occurrences from (
     select entity_id, 'exact_name' as rule, name_norm as key, 1 as occurrences from norm union all
     select entity_id, 'exact_address', address_norm, 1 from norm union all
@@ -87,11 +85,13 @@ _POSTINGS = """, posts as (
     select entity_id, 'rare_name_token', t, count(*) from (select entity_id, unnest(name_tokens) as t from norm) where length(t) >= 3 group by entity_id, t
   ) where key <> ''
 )"""
-_PAIRS = f"""{_POSTINGS}, lk as (select rule, key from posts where entity_id like 'S1-%' group by rule, key having sum(occurrences) <= {CAP}
-), rk as (select rule, key from posts where entity_id not like 'S1-%' group by rule, key having sum(occurrences) <= {CAP}
-), cand as (
-  select distinct l.entity_id as entity_id_s1, r.entity_id as entity_id_other, l.rule from posts l join posts r on l.rule = r.rule and l.key = r.key
-  join lk on lk.rule = l.rule and lk.key = l.key join rk on rk.rule = l.rule and rk.key = l.key
+_PAIRS = f"""{_POSTINGS}, sided as materialized (select *, substr(entity_id, 1, 3) as side from posts
+), few as materialized (
+  select side, rule, key from (select side, rule, key, sum(occurrences) as n from sided group by side, rule, key)
+  where n <= case when rule = 'rare_name_token' and side <> 'S1-' then {blocking.RARE_LIMIT} else {blocking.MAX_BLOCK} end
+), kept as materialized (select s.entity_id, s.side, s.rule, s.key from sided s join few f on f.side = s.side and f.rule = s.rule and f.key = s.key
+), cand as materialized (
+  select distinct l.entity_id as entity_id_s1, r.entity_id as entity_id_other, l.rule from kept l join kept r on l.rule = r.rule and l.key = r.key
   where l.entity_id like 'S1-%' and r.entity_id not like 'S1-%'
 ), pairs as (select distinct entity_id_s1, entity_id_other from cand)"""
 
@@ -172,9 +172,9 @@ def rare_overlap(spark, sf):
 _JOINED = f"{_PAIRS}, j as (select p.*, " + ", ".join(f"a.{c} as {c}_s1, b.{c} as {c}_other" for c in features.RECORD) + " from pairs p join norm a on a.entity_id = p.entity_id_s1 join norm b on b.entity_id = p.entity_id_other)"
 
 
-def _joined(spark, sf, *columns: str, **kw) -> DataFrame:
+def _joined(spark, sf, *columns: str) -> DataFrame:
     n = _norm(spark, sf)
-    return features.with_records(_candidates(spark, sf, **kw).select("entity_id_s1", "entity_id_other").distinct(), n, n, list(columns))
+    return features.with_records(_candidates(spark, sf).select("entity_id_s1", "entity_id_other").distinct(), n, n, list(columns))
 
 
 def _jaccard_sql(c: str) -> str:
@@ -220,8 +220,8 @@ def _plain(c: str):
 
 
 @_register("pair_levenshtein", f"{_JOINED} select entity_id_s1, entity_id_other, round({_LEV}, 6) as similarity from j")
-def pair_levenshtein(spark, sf, **kw):
-    d = _joined(spark, sf, "name_alnum", **kw)
+def pair_levenshtein(spark, sf):
+    d = _joined(spark, sf, "name_alnum")
     return d.select("entity_id_s1", "entity_id_other", F.round(P.levenshtein_similarity(_plain("name_alnum_s1"), _plain("name_alnum_other")), 6).alias("similarity"))
 
 
@@ -231,17 +231,23 @@ def pair_jaro_winkler(spark, sf):
     return d.select("entity_id_s1", "entity_id_other", F.round(similarities(_plain("name_alnum_s1"), _plain("name_alnum_other"), "jaro_winkler")["jaro_winkler"], 6).alias("similarity"))
 
 
+def _page_sides(spark, sf, rarity: bool = False) -> tuple[DataFrame, DataFrame]:
+    n = normalized(entities.page_records(spark, sf))
+    n = _rarity(n) if rarity else n
+    return n.where(F.col("entity_id").startswith("S1-")), n.where(~F.col("entity_id").startswith("S1-"))
+
+
 @_register("pair_fuzzy_all")
 def pair_fuzzy_all(spark, sf):
-    d = _joined(spark, sf, "name_alnum", "address_alnum", max_block=blocking.MAX_BLOCK, apart=True)
+    left, right = _page_sides(spark, sf)
+    d = features.with_records(blocking.pairs_by_rule(left, right).select("entity_id_s1", "entity_id_other").distinct(), left, right, ["name_alnum", "address_alnum"])
     name, addr = similarities(F.col("name_alnum_s1"), F.col("name_alnum_other")), similarities(F.col("address_alnum_s1"), F.col("address_alnum_other"))
     return d.select("entity_id_s1", "entity_id_other", name.alias("n"), addr.alias("a")).select("entity_id_s1", "entity_id_other", "n.*", *(F.col(f"a.{k}").alias(f"address_{k}") for k in ("ratio", "wratio", "partial_ratio")))
 
 
 def _feature_table(spark, sf) -> DataFrame:
-    n = _rarity(_norm(spark, sf))
-    left, right = n.where(F.col("entity_id").startswith("S1-")), n.where(~F.col("entity_id").startswith("S1-"))
-    return features.features(blocking.flagged(blocking.pairs_by_rule(left, right)), left, right)
+    left, right = _page_sides(spark, sf, rarity=True)
+    return features.features(candidates(left, right, Settings()), left, right)
 
 
 @_register("pair_features")
@@ -251,8 +257,7 @@ def pair_features(spark, sf):
 
 @_register("rule_score")
 def rule_score(spark, sf):
-    n = normalized(entities.whole_records(spark, sf))
-    left, right = n.where(F.col("entity_id").startswith("S1-")), n.where(~F.col("entity_id").startswith("S1-"))
+    left, right = _sides(spark, sf)
     pairs = blocking.flagged(blocking.pairs_by_rule(left, right))
     return models.PairModel("rule", []).score(features.features(pairs, left, right, models.RULE_COLUMNS))
 
@@ -274,15 +279,14 @@ def _tfidf_sql(column: str, k: int) -> str:
   select a.entity_id as entity_id_s1, b.entity_id as entity_id_other, round(sum(a.w * b.w), 6) as score from u a join u b using (gram)
   where a.entity_id like 'S1-%' and b.entity_id not like 'S1-%' group by 1, 2
 )
-select * from (select *, row_number() over (partition by entity_id_s1 order by score desc, entity_id_other)::int as rank from dots) where rank <= {k}"""
+select * from (select *, row_number() over (partition by entity_id_s1, substr(entity_id_other, 1, 3) order by score desc, entity_id_other)::int as rank from dots) where rank <= {k}"""
 
 
 def _topk(column: str):
     @_register(f"tfidf_topk_{column.split('_')[0]}", _tfidf_sql(column, 20))
     def topk(spark, sf):
         left, right = _sides(spark, sf)
-        idf = retrieval.fit(left.select(column).union(right.select(column)), column).persist()
-        return retrieval.top_k(retrieval.weights(left, "entity_id", column, idf), retrieval.weights(right, "entity_id", column, idf), apart=False)
+        return retrieval.retrieve(left, right, column).select("entity_id_s1", "entity_id_other", "score", "rank")
 
 
 _topk("name_alnum")
@@ -290,11 +294,13 @@ _topk("address_alnum")
 
 # ---------------------------------------------------------------- decisions on a SQL score
 
-_SCORES = f"{_JOINED}, scores as (select entity_id_s1, entity_id_other, round({_LEV}, 6) as score from j), uni as (select entity_id from ent where entity_id like 'S1-%')"
+# Decisions read the share of common name tokens.
+_SCORES = f"{_JOINED}, scores as (select entity_id_s1, entity_id_other, {_jaccard_sql('name_tokens')} as score from j), uni as (select entity_id from ent where entity_id like 'S1-%')"
 
 
-def _scores(spark, sf, **kw) -> DataFrame:
-    return pair_levenshtein(spark, sf, **kw).withColumnRenamed("similarity", "score")
+def _scores(spark, sf) -> DataFrame:
+    d = _joined(spark, sf, "name_tokens")
+    return d.select("entity_id_s1", "entity_id_other", F.round(P.jaccard(F.col("name_tokens_s1"), F.col("name_tokens_other")), 6).alias("score"))
 
 
 def _universe(spark, sf) -> DataFrame:
@@ -354,7 +360,7 @@ def threshold_grid(spark, sf):
 
 @_register("source_thresholds")
 def source_thresholds(spark, sf):
-    found = decide.source_thresholds(_scores(spark, sf, max_block=blocking.MAX_BLOCK, apart=True), entities.truth(spark, sf), _universe(spark, sf), 0.6, min_pairs=100)
+    found = decide.source_thresholds(_scores(spark, sf), entities.truth(spark, sf), _universe(spark, sf), 0.6, min_pairs=100)
     return spark.createDataFrame(list(found.items()), "source string, threshold double")
 
 
@@ -470,7 +476,7 @@ def match_fan_in(spark, sf):
 
 @_register("feature_separation")
 def feature_separation(spark, sf):
-    table = decide.labels(_feature_table(spark, sf), entities.truth(spark, sf))
+    table = decide.labels(_feature_table(spark, sf), entities.page_truth(spark, sf))
     return audit.separation(table, features.feature_columns(table))
 
 
@@ -480,7 +486,8 @@ def feature_separation(spark, sf):
 def _model(name: str):
     @_register(f"ml_{name}")
     def fitted(spark, sf):
-        table = decide.labels(_feature_table(spark, sf), entities.truth(spark, sf)).join(sampling.split(_universe(spark, sf)).withColumnRenamed("entity_id", "entity_id_s1"), "entity_id_s1").persist()
+        ids = entities.page_records(spark, sf).select("entity_id").where(F.col("entity_id").startswith("S1-"))
+        table = decide.labels(_feature_table(spark, sf), entities.page_truth(spark, sf)).join(sampling.split(ids).withColumnRenamed("entity_id", "entity_id_s1"), "entity_id_s1").persist()
         columns = [c for c in features.feature_columns(table) if c != "part"]
         model = models.PairModel.fit(name, table.where("part = 'train'"), columns)
         return model.score(table.where("part = 'validation'"))
@@ -493,8 +500,6 @@ _model("boosted")
 
 @_register("end_to_end")
 def end_to_end(spark, sf):
-    from tessera.plans.pipeline import link
-
-    r = entities.whole_records(spark, sf).drop("h")
+    r = entities.page_records(spark, sf).drop("h")
     left, right = r.where(F.col("entity_id").startswith("S1-")), r.where(~F.col("entity_id").startswith("S1-"))
     return link(left, right, threshold=0.61)

@@ -133,27 +133,27 @@ def test_stream(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).first().matched_entity_ids == "S2-1"
 
 
-def test_rule_reads_whole_texts(spark, tmp_path):
+def test_views_read_whole_texts(spark, tmp_path):
     from tessera.plans import entities, queries
 
     body = "first line, the name\n" + "same words of the rest " * 9
     texts = [(0, body + "and 75001 here"), (1, body + "and 75001 here"), (2, body + "and 99999 there, with quite another end of the text " * 4), (3, "one line only"), (4, None)]
     spark.createDataFrame([(i, t, "en") for i, t in texts], "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
-    r = {x.entity_id: x for x in entities.whole_records(spark, str(tmp_path)).collect()}
+    r = {x.entity_id: x for x in entities.records(spark, str(tmp_path)).collect()}
     assert all(f"{r[e].business_name}\n{r[e].business_address}" == texts[i][1] for i, e in ((0, "S1-0"), (1, "S2-1"), (2, "S3-2")))
     assert (r["S1-3"].business_name, r["S1-3"].business_address, r["S2-4"].business_name) == ("one line only", "", None)
     scores = {x.entity_id_other: x.score for x in queries.queries()["rule_score"](spark, str(tmp_path)).where("entity_id_s1 = 'S1-0'").collect()}
     assert scores["S2-1"] == 1 and scores["S3-2"] < 0.9
-    found = {x.source1_entity_id for x in queries.queries()["end_to_end"](spark, str(tmp_path)).collect()}
-    assert found == {"S1-0", "S1-3"}
 
 
-def test_queries_without_sql_take_production_limits(spark, tmp_path, monkeypatch):
+def test_queries_take_production_limits(spark, tmp_path, monkeypatch):
     from tessera.operators import models
     from tessera.plans import queries
 
-    rows = [(i, f"same name\nplace {i}", "en") for i in range(75)]  # 25 a source, over the SQL queries' cap
+    rows = [(i, f"same name\nplace {i}", "en") for i in range(75)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    pages = [(i, f"http://place.example/{i}", "<html lang='en'><head><title>same name</title></head></html>") for i in range(75)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
     found = queries.queries()
     assert found["rule_score"](spark, str(tmp_path)).count() == 25 * 50
     assert found["pair_fuzzy_all"](spark, str(tmp_path)).count() == 25 * 50
@@ -165,6 +165,31 @@ def test_queries_without_sql_take_production_limits(spark, tmp_path, monkeypatch
     assert given == {"forest": {}, "boosted": {}}
 
 
+def test_top_k_by_brute_force(spark, monkeypatch):
+    """Blocks of few rows give what one product of all rows gives."""
+    from tessera.operators import retrieval
+
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randint(2, 5)))
+    rows = [(f"S{1 + i % 3}-{i}", " ".join(word() for _ in range(rng.randint(0, 4)))) for i in range(60)]
+    texts = spark.createDataFrame(rows, "entity_id string, t string")
+    idf = retrieval.fit(texts, "t").persist()
+    weights = {}
+    for r in retrieval.weights(texts, "entity_id", "t", idf).collect():
+        weights.setdefault(r.id, {})[r.gram] = r.w
+    dots = {}
+    for a, x in weights.items():
+        for b, y in weights.items():
+            if a.startswith("S1-") and not b.startswith("S1-") and x.keys() & y.keys():
+                dots.setdefault((a, b[:2]), []).append((-round(sum(w * y.get(g, 0) for g, w in x.items()), 6), b))
+    want = {(a, b): -s for (a, _), found in dots.items() for s, b in sorted(found)[:3]}
+    sides = [retrieval.weights(texts.where(c), "entity_id", "t", idf) for c in ("entity_id like 'S1-%'", "entity_id not like 'S1-%'")]
+    for size in (1 << 19, 200):
+        monkeypatch.setattr(retrieval, "BLOCK_WEIGHTS", size)
+        got = {(r.entity_id_s1, r.entity_id_other): r.score for r in retrieval.top_k(*sides, 3).collect()}
+        assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 2e-6 for p in got)
+
+
 def test_limits_count_for_each_source(spark):
     from tessera.operators import retrieval
 
