@@ -33,26 +33,40 @@ AROUND = re.compile(
     r"(?:^|\s)(?:ads?|advert\w*|adbox|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|aside|widget\w*|footer\w*|foot|header|masthead|topbar|toolbar|cookies?|consent|gdpr|notices?|popup|modal|overlay|newsletter|subscribe\w*|signup|share\w*|sharing|social\w*|related\w*|recommend\w*|comments?|commentlist|respond|reply|replies|disqus|pagination|pager|copyright|legal|disclaimer|login|search\w*|navigation|complementary|contentinfo|alert|dialog|skip\w*|tags?|hidden)(?:$|\s)",
     re.I,
 )
-TAG = re.compile(r"<!--.*?(?:-->|--!>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: Of these, the ones that may as well name what a page is about; they count only where the part holds the lesser share of the page's text.
+ABOUT = re.compile(r"(?:promo\w*|banner|widget\w*|header|notices?|modal|overlay|legal|disclaimer|copyright|search\w*|alert|dialog|tags?|side|related\w*)", re.I)
+#: A quote opens a value only behind an equals sign. No part of a tag is tried twice.
+TAG = re.compile(r"<!--.*?(?:-->|--!>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"([^\s=/>]++)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "apart", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "apart", "about", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
-    def __init__(self, tag: str, apart: bool, parent: Node | None):
-        self.tag, self.apart, self.parent, self.parts = tag, apart, parent, []
+    def __init__(self, tag: str, parent: Node | None, apart: bool = False, about: bool = False):
+        self.tag, self.parent, self.apart, self.about, self.parts = tag, parent, apart, about, []
 
 
 def parse(page: str, spare: int = 0) -> Node:
     """The element tree of a page, forgiving as browsers are. Parts are texts (references decoded) and nodes, in page order.
 
-    spare keeps more of the page: from 1 on no element is apart for its names, from 2 on none that may wrap a page.
+    spare keeps more of the page: from 1 on no element is apart that may wrap a page, from 2 on none for its names.
+    Elements whose names may tell a page's matter, and elements that may wrap a page, are kept where they hold most of its
+    text. The names of open elements
+    are counted, so an end tag without a start costs nothing.
     """
-    root = node = Node("#root", False, None)
+    root = node = Node("#root", None)
+    open_: dict[str, int] = {}
+    about: list[Node] = []
     at, n = 0, len(page)
 
+    def rise(to: Node) -> None:
+        nonlocal node
+        while node is not to:
+            open_[node.tag] -= 1
+            node = node.parent
+
     def text(a: int, b: int) -> None:
         if a < b:
             node.parts.append(html.unescape(page[a:b]))
@@ -64,13 +78,15 @@ def parse(page: str, spare: int = 0) -> Node:
             break
         text(at, m.start())
         at = m.end()
-        close, name, said = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        close, name, said = m[1], m[2], m[3]
         if not name:
             if m[0].startswith("<![CDATA["):
                 node.parts.append(m[0][9:].removesuffix("]]>"))
             continue
         name = name.lower()
         if close:
+            if not open_.get(name):
+                continue
             up = node
             while up is not root and up.tag != name:
                 # an end tag of an inline element does not reach through a block, nor any through a table cell's
@@ -79,35 +95,65 @@ def parse(page: str, spare: int = 0) -> Node:
                     break
                 up = up.parent
             if up is not root:
-                node = up.parent
+                rise(up.parent)
             continue
-        if name in ENDS_P:
+        if name in ENDS_P and open_.get("p"):
             up = node
             while up is not root and up.tag != "p" and (up.tag not in BLOCKS):
                 up = up.parent
             if up.tag == "p":
-                node = up.parent
-        if name in CLOSES or any(name in c for c in CLOSES.values()):
-            up = node
+                rise(up.parent)
+        if name in CLOSED_BY and any(map(open_.get, CLOSED_BY[name])):
+            up, to = node, None
             while up is not root and up.tag not in ("ul", "ol", "dl", "table", "select", "div", "article", "section"):
-                if name in CLOSES.get(up.tag, ()):
-                    node = up.parent
+                if up.tag in CLOSED_BY[name]:
+                    to = up.parent
                     if name not in ("tr", "tbody", "tfoot"):
                         break
                 up = up.parent
-        if name in ("html", "body") and any(True for x in _up(node) if x.tag == name):
+            if to is not None:
+                rise(to)
+        if name in ("html", "body") and open_.get(name):
             continue
-        child = Node(name, name in APART and not (spare > 1 and name in WRAPS) or bool(said) and _is_apart(name, said, not spare), node)
+        child = Node(name, node, name in APART and not (spare and name in WRAPS), name in WRAPS)
+        if said and (not child.apart or child.about):
+            apart, by_matter = _is_apart(name, said, spare < 2)
+            child.apart, child.about = child.apart or apart, by_matter if apart else child.about
+        if child.apart and child.about:
+            about.append(child)
         node.parts.append(child)
         if name in RAW:
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
-        elif name not in VOID and not said.rstrip().endswith("/") or name in BLOCKS:
-            if name not in VOID:
-                node = child
+        elif name not in VOID and (not said.rstrip().endswith("/") or name in BLOCKS):
+            open_[name] = open_.get(name, 0) + 1
+            node = child
+    if about:
+        _spare_matter(root, about)
     return root
 
 
+#: The elements that a start tag on the left closes.
+CLOSED_BY: dict[str, set[str]] = {}
+for _open, _starts in CLOSES.items():
+    for _start in _starts:
+        CLOSED_BY.setdefault(_start, set()).add(_open)
+
+
+def _spare_matter(root: Node, about: list[Node]) -> None:
+    """Elements apart for a matter or as a wrapping element alone stay where they hold more than half of the page's text."""
+    order, stack, chars = [], [root], {}
+    while stack:
+        v = stack.pop()
+        order.append(v)
+        stack += [x for x in v.parts if isinstance(x, Node) and x.tag not in UNSEEN]
+    for v in reversed(order):
+        chars[id(v)] = sum(len(SPACE.sub(" ", x).strip()) if isinstance(x, str) else chars.get(id(x), 0) for x in v.parts)
+    for v in about:
+        if 2 * chars.get(id(v), 0) > chars[id(root)]:
+            v.apart = False
+
+
 def _up(node: Node) -> Iterator[Node]:
     while node is not None:
         yield node
@@ -128,18 +174,23 @@ def _way(node: Node, body: Node) -> list[Node]:
 OWN = re.compile(r"(?:article|entry|post|story|content|page)[_-]?(?:header|title|headline|heading|body|content|text|main)", re.I)
 
 
-def _is_apart(name: str, said: str, by_name: bool = True) -> bool:
+def _is_apart(name: str, said: str, by_name: bool = True) -> tuple[bool, bool]:
+    """Whether an element is not the article's by its attributes, and whether only by names that may tell a page's matter."""
     if name in ("html", "body", "article", "main", "p", "a", "b", "i", "em", "strong", "span", "br", "img"):
-        names = {"hidden": 1} if re.search(r"(?:^|\s)hidden(?:\s|=|$)", said, re.I) and name not in ("html", "body") else {}
-        if names or name not in ("p", "span", "a"):
-            return bool(names)
+        hidden = name not in ("html", "body") and re.search(r"(?:^|\s)hidden(?:\s|=|$)", said, re.I) is not None
+        if hidden or name not in ("p", "span", "a"):
+            return hidden, False
+    about = False
     for m in ATTRIBUTE.finditer(said):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if by_name and key in ("class", "id", "role") and AROUND.search(OWN.sub("", value)):
-            return True
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return True, False
+        if by_name and key in ("class", "id", "role"):
+            named = [w for w in OWN.sub("", value).split() if AROUND.match(w)]
+            if any(not ABOUT.fullmatch(w) for w in named):
+                return True, False
+            about |= bool(named)
+    return about, about
 
 
 def measure(root: Node) -> tuple[list[Node], Node]:

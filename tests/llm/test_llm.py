@@ -336,3 +336,33 @@ def test_sketches_lose_no_link():
                     assert kept[i] and kept[j]
     apart = [np.sort(rng.integers(0, 1 << 63, 400, dtype=np.uint64) * np.uint64(2)) for _ in range(30)]
     assert op2_jaccard.with_partner(np.full(30, 400), [op2_jaccard.ranges_of(s) for s in apart], 85, 100).sum() <= 2
+
+
+def test_main_text_of_made_pages():
+    """Pages made around known articles: every shape of wrapping, furniture, broken markup and odd attributes."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9)))
+    said = lambda n: " ".join(word() for _ in range(n)) + "."
+    furniture = [
+        "<nav><ul><li><a href='/a'>home</a><li><a href='/b'>more</a></ul></nav>", "<header><a href=/>Site</a> slogan</header>", "<footer><p>imprint and more</p></footer>",
+        "<div class='sidebar'><p>%s</p></div>" % said(20), "<aside>%s</aside>" % said(9), "<div id=cookies>we use cookies</div>", "<div class='ad'>%s</div>" % said(8),
+        "<form action='?a=1'><input value='x>y'><textarea><p>type</p></textarea></form>", "<script>var a = '<p>no</p>';</script>", "<style>p{}</style><!-- <p>no</p> -->", "<section class=comments><p>%s</p></section>" % said(30),
+    ]
+    wraps = ["<article>%s</article>", "<main>%s</main>", "<div class='content'>%s</div>", "<div class='has-sidebar no-header'>%s</div>", "<div class='post tags-legal'>%s</div>", "<div id='search-results'><div class='legal'>%s</div></div>", "<form>%s</form>", "<table><tr><td>%s</td></tr></table>", "<section title=it's data-x='a>b'>%s</section>"]
+    starts = ["<p>", "<p title=it's>", "<p class='a b' data-q='\"'>", "<P\nID=x >"]
+    for trial in range(60):
+        blocks = [said(rng.randint(12, 60)) for _ in range(rng.randint(2, 6))]
+        body = "<h1>%s</h1>" % (head := said(5)) + "".join(rng.choice(starts) + b.replace(" ", " &#32;\n ", 1).replace("a", "&#97;", 1) + rng.choice(["</p>", "", "</i></p>", "<br></p>"]) for b in blocks)
+        before, after = (rng.sample(furniture, rng.randint(0, 5)) for _ in "ab")
+        page = "<!DOCTYPE html><html lang=en><head><title>t</title></head><body>" + "".join(before) + wraps[trial % len(wraps)] % body + "".join(after) + rng.choice(["</body></html>", "", "</div></b></body>"])
+        assert op3_html.main_text(page) == "\n".join([head, *blocks]), page
+
+
+def test_pages_take_time_in_proportion():
+    import time
+
+    for bad in ("</i>", "</div>", "<b>", "<li>x", "<p><b>", "<td></div>", "<a href='x", '<a b="', "< ", "<div>", "<p title=it's>", "<hr>"):
+        began = time.process_time()
+        op3_html.main_text("<p>text</p>" + bad * 20_000)
+        assert time.process_time() - began < 8, bad
+    assert op3_html.main_text("<div>" * 5000 + "deep text" + "</div>" * 5000) == "deep text"
