@@ -209,7 +209,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
     """How much of each document lies inside windows of benchmark items.
 
     Words are runs of ASCII letters (A-Z lower-cased), digits and characters beyond ASCII. Null and empty texts
-    have no words and no hits. Items with the same id count once; repeated document rows each give a row. Without
+    have no words and no hits. Items with the same id count once; items without an id hit, but are not counted or named; repeated document rows each give a row. Without
     items, nothing is hit. Other columns are not read. Returns doc_id, n_words, n_hit, n_items, items_sha256,
     contaminated.
     """
@@ -220,7 +220,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
         for batch in batches:
             rows = []
             for _, n, spans, items, _, _ in scanner.scan(batch.column(1)):
-                hit = sum(b - a for a, b in spans)
+                hit, items = sum(b - a for a, b in spans), items - {None}
                 rows.append((n, hit, len(items), hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest(), hit > 0))
             if rows:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, f.type) for c, f in zip(zip(*rows), list(_FOUND)[1:]))], schema=_FOUND)
@@ -284,7 +284,7 @@ with d as (
 ), covered as (
   select doc_id, count(distinct pos) as n_hit from (select doc_id, unnest(range(p, p + k)) as pos from hits) group by doc_id
 ), named as (
-  select doc_id, count(*) as n_items, string_agg(s, ',' order by s) as names from (select distinct doc_id, item_id::varchar as s from hits) group by doc_id
+  select doc_id, count(*) as n_items, string_agg(s, ',' order by s) as names from (select distinct doc_id, item_id::varchar as s from hits where item_id is not null) group by doc_id
 )
 select d.doc_id, len(d.w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
   sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated

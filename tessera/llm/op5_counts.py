@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import pandas as pd
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 KEYS = ["source", "lang", "tokenizer"]
@@ -25,9 +29,6 @@ def marks(text: Column) -> Column:
 
 def file_tokenizer(path: str) -> Callable[[Column], Column]:
     """Counts by a tokenizers file, in Arrow batches."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
     @pandas_udf("long")
     def count(texts: pd.Series) -> pd.Series:
         from tessera.llm.op9_tokens import encoder
@@ -41,14 +42,16 @@ def file_tokenizer(path: str) -> Callable[[Column], Column]:
 class Rollup:
     """Totals of documents and tokens by source, language and tokenizer version, kept as committed deltas.
 
-    A batch of changes is reduced to one row a key and written to a folder of its own, which gets its name in one
-    step: it is there whole or not at all. A batch whose name is committed is not written again, so a replay after
-    a lost driver or a second delivery changes nothing. Totals are the sums of all committed deltas; compact()
-    sums them into a snapshot that names the batches it holds.
+    A batch of changes is reduced to one row a key and written to a folder of its own attempt. The commit is the creation
+    of the batch's marker, a small file that names the folder and is created only if it is absent: of two drivers with one
+    batch, one succeeds, and a replay after a lost driver or a second delivery changes nothing. Folders that no marker
+    names count for nothing. Totals are the sums of all committed deltas; compact() sums them into a snapshot, whose marker
+    names its folder and the batches in it. A store that creates files without looking would need a lock instead.
 
-    Changes have op, source, lang, tokenizer, tokens, and old_tokens for revisions:
-    insert adds a document and its tokens, delete takes both away, revise changes tokens from old_tokens. Null
-    tokens count 0, null keys are a key of their own, another op fails. Keys whose sums are all 0 are left out.
+    Changes have op, source, lang, tokenizer, tokens, and where wanted old_tokens for revisions and n, the number of
+    documents that a row stands for (null or absent: 1): insert adds n documents of so many tokens, delete takes them away,
+    revise changes their tokens from old_tokens. Null tokens count 0, null keys are a key of their own, another op fails.
+    Keys whose sums are all 0 are left out. An empty batch is committed as any other.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -56,44 +59,61 @@ class Rollup:
         jvm = spark.sparkContext._jvm
         self._path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
         self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self._fs.mkdirs(self._path(f"{self.path}/deltas"))
+        for part in ("commits", "deltas", "snapshots"):
+            self._fs.mkdirs(self._path(f"{self.path}/{part}"))
 
-    def committed(self) -> set[str]:
-        names = {s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.path}/deltas"))}
-        return {n.removeprefix("batch=") for n in names if n.startswith("batch=")} | self._snapshot()[1]
+    def _names(self, part: str) -> list[str]:
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.path}/{part}")) if not s.getPath().getName().startswith("."))
+
+    def _mark(self, marker: str, text: str) -> bool:
+        """Creates a marker; False where it is there already."""
+        if self._fs.exists(self._path(marker)):
+            return False
+        try:
+            out = self._fs.create(self._path(marker), False)
+        except Py4JJavaError:
+            if self._fs.exists(self._path(marker)):
+                return False
+            raise
+        out.write(bytearray(text.encode()))
+        out.close()
+        return True
+
+    def _read(self, marker: str) -> list[str]:
+        return [r.value for r in self.spark.read.text(marker).collect()]
 
     def _snapshot(self) -> tuple[str | None, set[str]]:
-        """The newest snapshot and the batches in it."""
-        if not self._fs.exists(self._path(f"{self.path}/snapshots")):
-            return None, set()
-        names = sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.path}/snapshots")) if s.getPath().getName().startswith("snapshot="))
+        """The newest snapshot's folder and the batches in it."""
+        names = self._names("snapshots")
         if not names:
             return None, set()
-        path = f"{self.path}/snapshots/{names[-1]}"
-        return path, {r.batch for r in self.spark.read.schema("batch string").parquet(f"{path}/batches").collect()}
+        folder, *held = self._read(f"{self.path}/snapshots/{names[-1]}")
+        return folder, set(held)
+
+    def committed(self) -> set[str]:
+        return set(self._names("commits"))
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Applies a batch once; False if it was applied before."""
         if batch in self.committed():
             return False
+        known = lambda c, other: F.coalesce(F.col(c).cast("long"), F.lit(other)) if c in changes.columns else F.lit(other).cast("long")
         sign = F.when(F.col("op") == "insert", 1).when(F.col("op") == "delete", -1).when(F.col("op") == "revise", 0)
         sign = F.coalesce(sign, F.raise_error(F.concat(F.lit("unknown op: "), F.coalesce("op", F.lit("null")))).cast("int"))
-        tokens = F.coalesce(F.col("tokens").cast("long"), F.lit(0))
-        old = F.coalesce(F.col("old_tokens").cast("long"), F.lit(0)) if "old_tokens" in changes.columns else F.lit(0)
+        tokens, old, n = known("tokens", 0), known("old_tokens", 0), known("n", 1)
         moved = F.when(F.col("op") == "revise", tokens - old).otherwise(sign * tokens)
-        delta = changes.groupBy(*(F.col(c).cast("string").alias(c) for c in KEYS)).agg(F.sum(sign).cast("long").alias("docs"), F.sum(moved).alias("tokens"))
-        part = f"{self.path}/pending-{batch}"
-        delta.write.mode("overwrite").parquet(part)
-        # the rename is the commit: of two drivers with one batch, one succeeds
-        if not self._fs.rename(self._path(part), self._path(f"{self.path}/deltas/batch={batch}")):
-            self._fs.delete(self._path(part), True)
+        delta = changes.groupBy(*(F.col(c).cast("string").alias(c) for c in KEYS)).agg(F.sum(sign * n).cast("long").alias("docs"), F.sum(moved * n).alias("tokens"))
+        folder = f"{self.path}/deltas/{batch}-{uuid.uuid4().hex}"
+        delta.write.parquet(folder)
+        if not self._mark(f"{self.path}/commits/{batch}", folder):
+            self._fs.delete(self._path(folder), True)
             return False
         return True
 
     def _deltas(self) -> tuple[DataFrame, set[str]]:
         snapshot, held = self._snapshot()
         names = sorted(self.committed() - held)
-        paths = [f"{self.path}/deltas/batch={n}" for n in names] + ([f"{snapshot}/totals"] if snapshot else [])
+        paths = [self._read(f"{self.path}/commits/{n}")[0] for n in names] + ([snapshot] if snapshot else [])
         read = self.spark.read.schema(_DELTA).parquet(*paths) if paths else self.spark.createDataFrame([], _DELTA)
         return read, held | set(names)
 
@@ -102,17 +122,17 @@ class Rollup:
         return sums.where("docs <> 0 or tokens <> 0")
 
     def compact(self) -> None:
-        """Sums all committed deltas into a new snapshot; their batches stay known."""
-        held = self._deltas()[1]
-        last = self._snapshot()[0]
-        number = int(last.rpartition("=")[2]) + 1 if last else 1
-        part = f"{self.path}/pending-snapshot-{number}"
-        self.totals().write.mode("overwrite").parquet(f"{part}/totals")
-        self.spark.createDataFrame([(b,) for b in sorted(held)], "batch string").coalesce(1).write.mode("overwrite").parquet(f"{part}/batches")
-        self._fs.mkdirs(self._path(f"{self.path}/snapshots"))
-        self._fs.rename(self._path(part), self._path(f"{self.path}/snapshots/snapshot={number:08d}"))
-        for name in held:
-            self._fs.delete(self._path(f"{self.path}/deltas/batch={name}"), True)
+        """Sums all committed deltas into a new snapshot and removes their folders; their batches stay known."""
+        read, held = self._deltas()
+        names = self._names("snapshots")
+        number = int(names[-1]) + 1 if names else 1
+        folder = f"{self.path}/deltas/snapshot-{uuid.uuid4().hex}"
+        self.totals().write.parquet(folder)
+        if not self._mark(f"{self.path}/snapshots/{number:08d}", "\n".join([folder, *sorted(held)])):
+            self._fs.delete(self._path(folder), True)  # another driver was first
+            return
+        for path in {f.rpartition("/")[0] for f in read.inputFiles()}:
+            self._fs.delete(self._path(path), True)
 
 
 def count_documents(docs: DataFrame, rollup: Rollup, *, tokenizers: dict[str, Callable[[Column], Column]], batch: str = "all") -> DataFrame:
@@ -120,7 +140,8 @@ def count_documents(docs: DataFrame, rollup: Rollup, *, tokenizers: dict[str, Ca
 
     First every document comes in with n_chars / 4 as an estimate for each tokenizer; then real counts revise the
     estimates; then documents that repeat an earlier text (the smallest id stays; of equal ids one) are deleted. The
-    second batch is sent twice, as a source that delivers at least once would.
+    second batch is sent twice, as a source that delivers at least once would. Null and empty texts are one text without
+    tokens; an empty table gives no totals. Texts are known by SHA-256. Extra columns are not read.
     """
     estimate = F.coalesce(F.floor(F.col("n_chars") / 4), F.lit(0)).cast("long")
     counted = F.explode(F.array(*[F.struct(F.lit(name).alias("tokenizer"), f(F.col("text")).alias("tokens")) for name, f in tokenizers.items()])).alias("c")
@@ -137,7 +158,7 @@ def count_documents(docs: DataFrame, rollup: Rollup, *, tokenizers: dict[str, Ca
     keep = same.groupBy("h").agg(F.min("own").alias("keep"), F.sum("n").alias("all")).where(F.col("all") > 1)
     gone = same.join(keep, "h").withColumn("gone", F.col("n") - F.when(F.col("own") == F.col("keep"), 1).otherwise(0))
     per = F.explode(F.array(*[F.struct(F.lit(name).alias("tokenizer"), (F.col(f"n{k}")).alias("tokens")) for k, name in enumerate(tokenizers)])).alias("c")
-    gone = gone.where("gone > 0").select(F.lit("delete").alias("op"), "source", "lang", per, F.explode(F.sequence(F.lit(1), F.col("gone"))).alias("_")).select("op", "source", "lang", "c.*")
+    gone = gone.where("gone > 0").select(F.lit("delete").alias("op"), "source", "lang", per, F.col("gone").alias("n")).select("op", "source", "lang", "c.*", "n")
     rollup.commit(f"{batch}-3", gone)
     return rollup.totals()
 

@@ -9,8 +9,10 @@ from tessera.llm.common import cut, small
 WORD = r"[^\x20\x09-\x0D]+"
 #: Characters that mark markup left-overs and shouting.
 JUNK = "#$%&*|!"
-#: Key ranges of a source whose sums are formed before any order within them.
-RANGES = 1024
+#: Bits of a key's place on the line from 0 to 1, and those by which ranges of it are split at a time.
+PLACE_BITS, STEP_BITS = 50, 10
+#: Rows of a source up to which they are put in order in one task; a range of more is split again.
+EDGE_ROWS = 10_000
 
 
 def quality_weight(text: Column) -> Column:
@@ -57,22 +59,34 @@ def mix(
         key.alias("key"),
         F.substring(h, 1, 16).alias("tie"),
     )
-    d = cut(d.withColumn("range", F.least(F.floor((1 - F.exp(-F.col("key"))) * RANGES), F.lit(RANGES - 1)).cast("int")))
+    # where a key lies on the line from 0 to 1, as a whole number: ranges are its leading bits
+    d = cut(d.withColumn("place", F.least(F.floor((1 - F.exp(-F.col("key"))) * float(1 << PLACE_BITS)), F.lit((1 << PLACE_BITS) - 1)).cast("long")))
+    own_range = lambda shift: F.shiftright("place", shift)
 
     # One row for each source and range; rank order and shares need only one row for each source.
-    sums = cut(d.groupBy("skey", "source", "range").agg(F.sum("size").alias("words")))
+    shift = PLACE_BITS - STEP_BITS
+    sums = cut(d.groupBy("skey", "source", own_range(shift).alias("range")).agg(F.sum("size").alias("words"), F.count("*").alias("rows")))
     src = targets(sums.groupBy("skey", "source").agg(F.sum("words").alias("source_size")), source_weights, budget, most)
     wanted = F.floor("target").cast("long")
     src = src.withColumn("epochs", F.when(F.col("source_size") > 0, F.least(F.floor(wanted / F.col("source_size")), F.lit(most))).otherwise(0).cast("long"))
     src = cut(src.withColumn("rest", wanted - F.col("epochs") * F.col("source_size")))
 
+    # The range in which a source's rest ends, split until few rows are left in it (or one place).
     by_range = Window.partitionBy("skey").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    edge = (
-        sums.join(small(src.select("skey", "rest")), "skey")
-        .withColumn("before", F.coalesce(F.sum("words").over(by_range), F.lit(0)))
-        .where("rest > before and rest <= before + words")
-        .select("skey", F.col("range").alias("edge"), "before")
-    )
+
+    def edge_of(sums: DataFrame, start: DataFrame) -> DataFrame:
+        passed = F.col("base") + F.coalesce(F.sum("words").over(by_range), F.lit(0))
+        found = sums.join(small(start), "skey").withColumn("before", passed)
+        return cut(found.where("rest > before and rest <= before + words").select("skey", "rest", F.col("range").alias("edge"), "before", "rows"))
+
+    edge = edge_of(sums, src.select("skey", "rest", F.lit(0).alias("base")))
+    while shift and edge.where(F.col("rows") > EDGE_ROWS).limit(1).count():
+        inside = d.join(small(edge.select("skey", "edge")), "skey").where(own_range(shift) == F.col("edge"))
+        shift -= STEP_BITS
+        inner = inside.groupBy("skey", own_range(shift).alias("range")).agg(F.sum("size").alias("words"), F.count("*").alias("rows"))
+        edge = edge_of(inner, edge.select("skey", "rest", F.col("before").alias("base")))
+    edge = edge.drop("rest", "rows")
+    d = d.withColumn("range", own_range(shift))
     plan = src.select("skey", "source_size", "target", "epochs", "rest").join(edge, "skey", "left")
     d = d.join(small(cut(plan)), "skey")
 
@@ -94,15 +108,22 @@ def mixed(docs: DataFrame, *, seed: str = "mix-1", **how) -> DataFrame:
     """The mix itself: rows of docs (doc_id, text, lang, source, n_chars), each as often as it is taken.
 
     A document that is taken in part at last has a row with its first words, and n_chars of these. Documents of
-    which nothing is taken are left out.
+    which nothing is taken are left out. Of rows equal in id, text and source, which are drawn alike, the first by
+    lang and n_chars takes the most.
     """
     cols = ["doc_id", "text", "lang", "source", "n_chars"]
-    taken = mix(docs, seed=seed, **how).where("taken > 0")
-    plan = cut(taken.groupBy(F.coalesce("doc_id", F.lit(-1)).alias("k"), "tie", "size").agg(F.sum("taken").alias("taken"), F.count("*").alias("rows")))
-    keyed = docs.select(*cols, F.coalesce("doc_id", F.lit(-1)).alias("k"), F.substring(_hash("doc_id", "text", seed), 1, 16).alias("tie"))
-    if plan.where("rows > 1").limit(1).count():  # rows equal in id and text share one plan
-        keyed = keyed.dropDuplicates(["k", "tie"])
-    d = keyed.join(plan, ["k", "tie"])
+    key = ["k", "tie", "s"]
+    own = lambda d: d.withColumns({"k": F.coalesce("doc_id", F.lit(-1)), "s": F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name"))})
+    taken = own(mix(docs, seed=seed, **how).where("taken > 0"))
+    plan = cut(taken.groupBy(*key, "size").agg(F.sort_array(F.collect_list("taken"), False).alias("takes")))
+    keyed = own(docs.select(*cols)).withColumn("tie", F.substring(_hash("doc_id", "text", seed), 1, 16))
+    once = plan.where("size(takes) = 1").select(*key, F.col("size"), F.col("takes")[0].alias("taken"))
+    d = keyed.join(once, key)
+    several = plan.where("size(takes) > 1")
+    if several.limit(1).count():
+        nth = F.row_number().over(Window.partitionBy(*key).orderBy("lang", "n_chars"))
+        again = keyed.join(several, key).withColumn("nth", nth).where(F.col("nth") <= F.size("takes"))
+        d = d.unionByName(again.withColumn("taken", F.element_at("takes", F.col("nth"))).drop("nth", "takes"))
     whole, rest = F.floor(F.col("taken") / F.col("size")).cast("int"), F.col("taken") % F.col("size")
     parts = F.array_repeat(F.lit(0), whole)
     d = d.withColumn("words", F.explode(F.when(rest > 0, F.concat(parts, F.array(rest.cast("int")))).otherwise(parts)))

@@ -366,3 +366,64 @@ def test_pages_take_time_in_proportion():
         op3_html.main_text("<p>text</p>" + bad * 20_000)
         assert time.process_time() - began < 8, bad
     assert op3_html.main_text("<div>" * 5000 + "deep text" + "</div>" * 5000) == "deep text"
+
+
+def test_commits_are_exclusive(spark, tmp_path, monkeypatch):
+    """Two drivers that both saw no commit of a batch: one applies it, the other changes nothing."""
+    a, b = (op5_counts.Rollup(spark, f"file://{tmp_path}/r") for _ in "ab")
+    ch = lambda n: spark.createDataFrame([("insert", "s", "en", "t", 10, n)], "op string, source string, lang string, tokenizer string, tokens long, n long")
+    monkeypatch.setattr(op5_counts.Rollup, "committed", lambda self: set())
+    exists = lambda: sorted(p.name for p in (tmp_path / "r" / "deltas").iterdir())
+    assert a.commit("one", ch(3)) and not b.commit("one", ch(3)) and len(exists()) == 1
+    monkeypatch.undo()
+    assert [tuple(x) for x in b.totals().collect()] == [("s", "en", "t", 3, 30)]
+    a.compact()
+    b.compact()
+    assert [tuple(x) for x in a.totals().collect()] == [("s", "en", "t", 3, 30)] and not a.commit("one", ch(3)) and len(exists()) == 1
+    with pytest.raises(Exception, match="unknown op"):
+        a.commit("two", ch(1).replace("insert", "other", "op"))
+    assert [tuple(x) for x in b.totals().collect()] == [("s", "en", "t", 3, 30)]
+
+
+def test_counts_of_documents(spark, tmp_path):
+    """Copies, nulls, empty and long texts and an empty table, with the regular tokenizers and a file's."""
+    d = docs(spark, [*EDGES, (8, "one two"), (9, None), (1, "")])
+    file = public_tokenizers.path("word_bpe_49k.json")
+    kinds = {"words-1": op5_counts.words, "file-1": op5_counts.file_tokenizer(file)}
+    got = {r.tokenizer: (r.docs, r.tokens) for r in op5_counts.count_documents(d, op5_counts.Rollup(spark, f"file://{tmp_path}/a"), tokenizers=kinds).collect()}
+    texts = {t or "" for _, t in EDGES}
+    own = op9_tokens.encoder(file).own
+    assert got == {"words-1": (len(texts), sum(len(t.split()) for t in texts)), "file-1": (len(texts), sum(len(own.encode(t, add_special_tokens=False).ids) for t in texts))}
+    assert op5_counts.count_documents(docs(spark, []), op5_counts.Rollup(spark, f"file://{tmp_path}/b"), tokenizers=kinds).count() == 0
+
+
+def test_mix_splits_crowded_ranges(spark, monkeypatch):
+    """However the weights gather the keys, ranges are split until few rows are ordered; the mix stays the same."""
+    from pyspark.sql import functions as F
+
+    d = docs(spark, [(i, "w " * (1 + i % 7)) for i in range(400)], "a").union(docs(spark, [(i, "w w w") for i in range(400, 440)], "b"))
+    for weight in (None, F.lit(1e-6), F.lit(1e6)):
+        rows = sorted(map(tuple, op6_mix.mix(d, weight=weight).collect()))
+        monkeypatch.setattr(op6_mix, "EDGE_ROWS", 2)
+        assert sorted(map(tuple, op6_mix.mix(d, weight=weight).collect())) == rows
+        monkeypatch.undo()
+
+
+def test_mixed_edges(spark):
+    """Rows equal in id and text but of two sources, repeated rows, nulls, empty texts and an empty table."""
+    texts = [(i, "w " * (1 + i % 9)) for i in range(60)]
+    d = docs(spark, texts, "a").union(docs(spark, texts[:20], "b")).union(docs(spark, texts[:5] * 2, "b")).union(docs(spark, [(None, "null id"), (77, None), (78, "")], None))
+    taken = {(r.source, r.doc_id): 0 for r in d.collect()}
+    for r in op6_mix.mix(d).collect():
+        taken[r.source, r.doc_id] += r.taken
+    found = dict.fromkeys(taken, 0)
+    for r in op6_mix.mixed(d).collect():
+        found[r.source, r.doc_id] += len(r.text.split())
+    assert found == taken
+    assert op6_mix.mixed(docs(spark, [])).count() == 0
+
+
+def test_items_without_an_id(spark):
+    bench = spark.createDataFrame([(None, "null id here"), (4, "null id here")], "item_id long, text string")
+    r = op4_decontaminate.contamination(docs(spark, [(1, "a null id here")]), bench).first()
+    assert (r.n_hit, r.n_items, r.items_sha256) == (3, 1, hashlib.sha256(b"4").hexdigest())
