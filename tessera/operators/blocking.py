@@ -54,9 +54,15 @@ def pairs_by_rule(left: DataFrame, right: DataFrame, *, rules: Sequence[str] = R
     counted within its values, as a run in chunks would. Rows of the right side are counted for each source alone,
     unless apart is false: then all of them together.
     """
-    within = [scope] if scope else []
-    l = postings(left, rules) if not scope else postings(left, rules).join(left.select("entity_id", scope), "entity_id")
+    l = postings(left, rules)
+    l = l.join(left.select("entity_id", scope), "entity_id") if scope else l
     r = postings(right, rules).withColumn("source", source_of("entity_id") if apart else F.lit(""))
+    return matched(l, r, max_block=max_block, rare_limit=rare_limit, scope=scope)
+
+
+def matched(l: DataFrame, r: DataFrame, *, max_block: int = MAX_BLOCK, rare_limit: int = RARE_LIMIT, scope: str | None = None) -> DataFrame:
+    """pairs_by_rule of postings; the right ones have their source, too."""
+    within = [scope] if scope else []
     few = r.groupBy("rule", "key", "source").agg(F.sum("occurrences").alias("rows")).where(F.col("rows") <= F.when(F.col("rule") == "rare_name_token", min(rare_limit, max_block)).otherwise(max_block)).select("rule", "key", "source")
     fewer = l.groupBy("rule", "key", *within).agg(F.sum("occurrences").alias("rows")).where(F.col("rows") <= max_block).drop("rows")
     live = fewer.join(few, ["rule", "key"])

@@ -17,9 +17,10 @@ def violations(results: DataFrame, required: DataFrame, known: DataFrame | None
     """check, id of every offence in results (source1_entity_id, and a second column of comma-joined ids).
 
     Rows must be one for each required entity_id, lists without repeats, and list ids S2 or S3 ids that are known
-    (not checked without known).
+    (not checked without known). A blank list has no ids; an empty place in another is an id without a prefix.
     """
-    d = results.toDF("s1", "ids").withColumn("list", F.filter(F.split(F.coalesce("ids", F.lit("")), ","), lambda x: F.trim(x) != ""))
+    ids = F.coalesce("ids", F.lit(""))
+    d = results.toDF("s1", "ids").withColumn("list", F.when(F.trim(ids) != "", F.split(ids, ",")).otherwise(F.array().cast("array<string>")))
     item = d.select(F.explode("list").alias("id")).distinct()
     need, seen = required.select(F.col("entity_id").alias("id")).distinct(), d.select(F.col("s1").alias("id")).distinct()
     foreign = ~F.col("id").startswith("S1-") & ~F.col("id").startswith("S2-") & ~F.col("id").startswith("S3-")

@@ -52,15 +52,19 @@ def idf_tables(*records: DataFrame) -> dict[str, DataFrame]:
     return {side: features.idf_table(both, f"{side}_tokens") for side in ("name", "address")}
 
 
+def scored(left: DataFrame, right: DataFrame, model: PairModel, s: Settings, idf: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Candidate pairs of records with their scores."""
+    l, r = normalized(left), normalized(right)
+    table = feature_table(l, r, s, idf or idf_tables(l, r), RULE_COLUMNS if model.name == "rule" else None)
+    return model.score(table)
+
+
 def link(left: DataFrame, right: DataFrame, *, model: PairModel | None = None, threshold: float = 0.61, settings: Settings | None = None, idf: dict[str, DataFrame] | None = None, min_gap: float | None = None, single_parent: bool = False, max_block: int | None = None) -> DataFrame:
     """source1_entity_id, matched_entity_ids for every left record; the fixed rule scores where no model is given."""
     s = settings or Settings()
     if max_block is not None:
         s = replace(s, max_block=max_block)
-    l, r = normalized(left), normalized(right)
-    model = model or PairModel("rule", [])
-    table = feature_table(l, r, s, idf or idf_tables(l, r), RULE_COLUMNS if model.name == "rule" else None)
-    scores = model.score(table)
+    scores = scored(left, right, model or PairModel("rule", []), s, idf)
     return decide.match_lists(decide.decide(scores, threshold, min_gap=min_gap, single_parent=single_parent), left)
 
 

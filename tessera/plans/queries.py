@@ -129,6 +129,15 @@ def block_rule_counts(spark, sf):
     return _candidates(spark, sf).groupBy("rule").agg(F.count("*").alias("n"))
 
 
+# A run in chunks counts the left side within each; here languages are the chunks, and a block has 20 rows, so both branches run.
+_SCOPED = f"{_POSTINGS}, sided as (select p.*, n.country_norm as chunk, substr(p.entity_id, 1, 3) as side from posts p join norm n using (entity_id)), l as (select rule, key, chunk from sided where side = 'S1-' group by 1, 2, 3 having sum(occurrences) <= 20), r as (select rule, key, side from sided where side <> 'S1-' group by 1, 2, 3 having sum(occurrences) <= 20)"
+
+
+@_register("block_within_chunks", f"{_SCOPED} select distinct a.entity_id as entity_id_s1, b.entity_id as entity_id_other, a.rule from sided a join l on a.rule = l.rule and a.key = l.key and a.chunk = l.chunk join sided b on b.rule = a.rule and b.key = a.key join r on r.rule = b.rule and r.key = b.key and r.side = b.side where a.side = 'S1-' and b.side <> 'S1-'")
+def block_within_chunks(spark, sf):
+    return _candidates(spark, sf, max_block=20, scope="country_norm")
+
+
 @_register("postings_lookup", f"{_POSTINGS} select entity_id, rule, key, occurrences::bigint as occurrences from posts")
 def postings_lookup(spark, sf):
     return blocking.postings(_norm(spark, sf)).withColumn("occurrences", F.col("occurrences").cast("long"))
@@ -358,7 +367,13 @@ def threshold_grid(spark, sf):
     return decide.threshold_table(_scores(spark, sf), entities.truth(spark, sf), _universe(spark, sf))
 
 
-@_register("source_thresholds")
+_LEVELS = (
+    ", grid as (select s || '|' || t as level, s, t from (select unnest(['S2-', 'S3-']) as s), (select unnest([" + ", ".join(f"{t}::double" for t in decide.BY_SOURCE) + "]) as t)"
+    "), pred as (select level, entity_id_s1, entity_id_other from scores join grid on substr(entity_id_other, 1, 3) = s and score >= t)"
+)
+
+
+@_register("source_thresholds", _SCORES + _LEVELS + _entity_sql("pred", "level") + ", best as (select s, t, row_number() over (partition by s order by round(avg(f05), 6) desc, t) as place from e join grid using (level) group by s, t) select case s when 'S2-' then 'source2' else 'source3' end as source, case when (select count(*) from scores where entity_id_other like s || '%') >= 100 then t else 0.6::double end as threshold from best where place = 1")
 def source_thresholds(spark, sf):
     found = decide.source_thresholds(_scores(spark, sf), entities.truth(spark, sf), _universe(spark, sf), 0.6, min_pairs=100)
     return spark.createDataFrame(list(found.items()), "source string, threshold double")
@@ -397,9 +412,9 @@ def labels(spark, sf):
     return decide.labels(_candidates(spark, sf).select("entity_id_s1", "entity_id_other").distinct(), entities.truth(spark, sf))
 
 
-@_register("matches_outside_candidates", _SCORES + " select distinct t.entity_id_s1, t.entity_id_other from truth t anti join (select * from scores where score >= 0.9) s using (entity_id_s1, entity_id_other)")
+@_register("matches_outside_candidates", f"{_PAIRS} select distinct t.entity_id_s1, t.entity_id_other from truth t anti join (select * from cand where rule = 'address_number_country') c using (entity_id_s1, entity_id_other)")
 def matches_outside_candidates(spark, sf):
-    return decide.outside_candidates(entities.truth(spark, sf), decide.accepted(_scores(spark, sf), 0.9))
+    return decide.outside_candidates(entities.truth(spark, sf), _candidates(spark, sf, rules=["address_number_country"]))
 
 
 # ---------------------------------------------------------------- samples, audits, checks
@@ -436,13 +451,13 @@ def truth_exploded(spark, sf):
     return exploded_truth(decide.match_lists(entities.truth(spark, sf), _universe(spark, sf)))
 
 
-_RESULTS = ", res as (select entity_id_s1 as s1, string_agg(entity_id_other, ',' order by entity_id_other) as ids from truth group by 1 union all select 'S9-1', 'S1-0,X-7,S2-none,S2-1,S2-1' union all select min(entity_id_s1), 'S3-2' from truth), item as (select distinct unnest(string_split(ids, ',')) as id from res), uni as (select entity_id as id from ent where entity_id like 'S1-%')"
+_RESULTS = ", res as (select entity_id_s1 as s1, string_agg(entity_id_other, ',' order by entity_id_other) as ids from truth group by 1 union all select 'S9-1', 'S1-0,X-7,S2-none,S2-1,S2-1' union all select 'S9-2', 'S2-1,' union all select min(entity_id_s1), 'S3-2' from truth), item as (select distinct unnest(string_split(ids, ',')) as id from res), uni as (select entity_id as id from ent where entity_id like 'S1-%')"
 
 
 @_register("validator_violations", _RESULTS + " select 'duplicate_row' as \"check\", s1 as id from res group by s1 having count(*) > 1 union all select distinct 'repeated_id', s1 from res where len(string_split(ids, ',')) > len(list_distinct(string_split(ids, ','))) union all select 'self_match', id from item where id like 'S1-%' union all select 'wrong_prefix', id from item where not regexp_matches(id, '^S[123]-') union all select 'unknown_id', id from item where regexp_matches(id, '^S[23]-') and id not in (select entity_id from ent) union all select 'missing_row', id from uni where id not in (select s1 from res) union all select distinct 'extra_row', s1 from res where s1 not in (select id from uni)")
 def validator_violations(spark, sf):
     t = entities.truth(spark, sf)
-    more = spark.createDataFrame([("S9-1", "S1-0,X-7,S2-none,S2-1,S2-1")], "a string, b string")
+    more = spark.createDataFrame([("S9-1", "S1-0,X-7,S2-none,S2-1,S2-1"), ("S9-2", "S2-1,")], "a string, b string")
     twice = t.agg(F.min("entity_id_s1").alias("a")).select("a", F.lit("S3-2").alias("b"))
     return validate.violations(decide.match_lists(t).union(more).union(twice), _universe(spark, sf), entities.records(spark, sf))
 

@@ -112,7 +112,15 @@ def write_results(pairs_or_lists: DataFrame, path: str, *, single_file: bool = F
 
 
 def append_results(lists: DataFrame, path: str) -> None:
-    """Adds checked rows to a result folder; every part file has its header."""
+    """Adds rows (an id and a comma-joined list) to a result folder, whose part files each have the header.
+
+    Fails before anything is written where a row's id repeats among them or a list breaks the rules of results.
+    """
+    from tessera.operators.validate import OutputFormatError, violations
+
+    bad = violations(lists, lists.select(F.col(lists.columns[0]).alias("entity_id"))).first()
+    if bad is not None:
+        raise OutputFormatError(f"{bad.check}: {bad.id}")
     lists.write.mode("append").options(sep="\t", header=True, emptyValue="", quote="").csv(path)
 
 

@@ -77,10 +77,10 @@ def test_f05_and_policies(spark):
 
 
 def test_validator_and_split(spark):
-    res = spark.createDataFrame([("S1-0", "S2-1,S2-1"), ("S1-0", "S1-4,Q-1"), ("S1-7", "S3-99")], "a string, b string")
+    res = spark.createDataFrame([("S1-0", "S2-1,S2-1"), ("S1-0", "S1-4,Q-1"), ("S1-7", "S3-99,"), ("S1-1", " ")], "a string, b string")
     uni = spark.createDataFrame([("S1-0",), ("S1-1",)], "entity_id string")
     got = {(r.check, r.id) for r in validate.violations(res, uni, spark.createDataFrame([("S2-1",)], "entity_id string")).collect()}
-    assert got == {("duplicate_row", "S1-0"), ("repeated_id", "S1-0"), ("self_match", "S1-4"), ("wrong_prefix", "Q-1"), ("unknown_id", "S3-99"), ("missing_row", "S1-1"), ("extra_row", "S1-7")}
+    assert got == {("duplicate_row", "S1-0"), ("repeated_id", "S1-0"), ("self_match", "S1-4"), ("wrong_prefix", "Q-1"), ("unknown_id", "S3-99"), ("wrong_prefix", ""), ("extra_row", "S1-7")}
     ids = spark.range(101).selectExpr("concat('S1-', id) as entity_id")
     assert sampling.split(ids, 0.25).where("part = 'validation'").count() == 25
 
@@ -201,3 +201,76 @@ def test_limits_count_for_each_source(spark):
     assert {r.entity_id_other for r in blocking.pairs_by_rule(left, right, rules=["rare_name_token"], rare_limit=2).collect()} == {"S3-0", "S3-1"}
     near = lambda **kw: sorted(r.entity_id_other for r in retrieval.retrieve(left, right, "name_alnum", k=2, **kw).collect())
     assert near() == ["S2-0", "S2-1", "S3-0", "S3-1"]
+
+
+def test_stages_end_to_end(spark, tmp_path, monkeypatch, capsys):
+    """The command line from raw tables to checked results, a sample, and its errors."""
+    import json
+
+    from tessera import __main__ as cli
+    from tessera.plans import stages
+
+    rng = random.Random(5)
+    words = ["alpha", "river", "stone", "green", "market", "north", "cedar", "bridge"]
+    for split in ("train", "test"):
+        d = tmp_path / "raw" / split
+        d.mkdir(parents=True)
+        tables = {1: [], 2: [], 3: []}
+        for i in range(20):
+            name, addr = " ".join(rng.sample(words, 3)) + f" {i}", f"{i + 10} main street {10000 + i}"
+            for k, form in ((1, name), (2, name.upper() + " Inc."), (3, name + " ltd")):
+                tables[k].append(f"S{k}-{i}\t{form}\t{addr}\tus")
+        for k, rows in tables.items():
+            (d / f"{split}_source{k}.tsv").write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\n" + "\n".join(rows) + "\n")
+    (tmp_path / "raw/train/train_ground_truth.tsv").write_text("source1_entity_id\tmatched_entity_ids\n" + "".join(f"S1-{i}\tS2-{i},S3-{i}\n" for i in range(20)))
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    at = [f"{k}={tmp_path}/{k}" for k in ("raw", "cache", "model", "out")]
+    assert cli.main(["all", *at, "models=rule", "tfidf=false", "sample=5"]) == 0
+    reports = json.loads(capsys.readouterr().out)
+    assert [r["stage"] for r in reports] == list(stages.STAGES) and reports[3]["entities"] == 5 and reports[4]["errors"] == []
+    run = stages.Run.of({"sample": 21, "raw": str(tmp_path / "raw"), "cache": str(tmp_path / "cache")})
+    with pytest.raises(ValueError, match="1 to 20"):
+        stages.validate(spark, run)
+    with pytest.raises(ValueError, match="test split"):
+        stages.validate(spark, stages.Run.of({"sample": 2, "split": "train", "raw": run.raw, "cache": run.cache}))
+    with pytest.raises(ValueError, match="unknown setting"):
+        stages.Run.of({}, ["sampel=2"])
+    assert cli.main(["audit", f"raw={tmp_path}/none", *at[1:]]) == 1
+    assert stages.map_chunks(spark.range(5).toDF("x"), lambda f: f.assign(x=f.x + 1), "x long").selectExpr("sum(x) as s").first().s == 15
+
+
+def test_index_is_reused(spark, tmp_path):
+    from tessera.sources.index import BlockingIndex
+
+    left = records(spark, [("S1-0", "same name", "1 a", "us"), ("S1-1", "other words", "2 b", "fr")])
+    right = records(spark, [(f"S{k}-{i}", n, a, c) for k in (2, 3) for i, (n, a, c) in enumerate([("same name", "1 a", "us"), ("same name", "9 z", "us"), ("other", "2 b", "fr")])])
+    index = BlockingIndex(spark, str(tmp_path / "i"))
+    with pytest.raises(FileNotFoundError):
+        index.postings()
+    assert index.build(right, {"v": 1}) and not index.build(right, {"v": 1})
+    for kw in ({}, {"max_block": 1}, {"scope": "country_norm"}):
+        assert sorted(map(tuple, index.pairs(left, **kw).collect())) == sorted(map(tuple, blocking.pairs_by_rule(left, right, **kw).collect()))
+    assert index.build(right.limit(0), {"v": 2}) and index.pairs(left).count() == 0
+
+
+def test_sinks_and_checks(spark, tmp_path):
+    from tessera.sources import files
+
+    lists = spark.createDataFrame([("S1-0", "S2-1,S3-2"), ("S1-1", "")], "source1_entity_id string, matched_entity_ids string")
+    path, uni = str(tmp_path / "res"), spark.createDataFrame([("S1-0",), ("S1-1",), ("S1-2",)], "entity_id string")
+    files.write_results(lists, path)
+    files.append_results(spark.createDataFrame([("S1-2", "S3-9")], lists.schema), path)
+    assert {tuple(r) for r in files.read_results(spark, path).collect()} == {("S1-0", "S2-1,S3-2"), ("S1-1", ""), ("S1-2", "S3-9")}
+    for bad in ("S2-1,", "S1-4", "Q-1", "S2-1,S2-1"):
+        with pytest.raises(validate.OutputFormatError):
+            files.append_results(spark.createDataFrame([("S1-3", bad)], lists.schema), path)
+    assert validate.file_problems(spark, path, "matching") == [] and validate.validate(spark, path, None, uni) == ([], [])
+    assert "not found" in validate.file_problems(spark, str(tmp_path / "none"), "matching")[0]
+    for text, said in (("", "empty"), ("source1_entity_id,matched_entity_ids\n", "comma"), ("a\tb\n", "header"), ("source1_entity_id\tmatched_entity_ids\nS1-1\n", "no tab")):
+        (tmp_path / "f.tsv").write_text(text)
+        assert said in validate.file_problems(spark, str(tmp_path / "f.tsv"), "matching")[0]
+    (tmp_path / "ids.tsv").write_text("entity_id\tx\n S1-1 \t2\n\t3\nS1-1\t4\n")
+    assert [r.entity_id for r in files.read_ids(spark, str(tmp_path / "ids.tsv")).collect()] == ["S1-1"]
+    log = str(tmp_path / "log")
+    files.append_experiments(spark, log, spark.createDataFrame([(1, "a")], "x int, y string"))
+    assert sorted(map(str, files.append_experiments(spark, log, spark.createDataFrame([(2, 0.5)], "x int, z double")).select("x", "y", "z").collect())) == ["Row(x=1, y='a', z=None)", "Row(x=2, y=None, z=0.5)"]
