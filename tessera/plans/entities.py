@@ -71,11 +71,13 @@ def _alnum(c: str) -> str:
 
 _SUFFIXES = ", ".join(f"'{s}'" for s in LEGAL_SUFFIXES)
 
-#: Common table expressions: ent (records), n0..n2 and norm (normalised), truth.
-SQL = rf"""
-ent as (
+_DOCUMENTS = """
   select concat('S', doc_id % 3 + 1, '-', doc_id) as entity_id, split_part(text, chr(10), 1) as business_name, substr(text, length(split_part(text, chr(10), 1)) + 2) as business_address, lang as country, md5(text) as h from documents
-), n0 as (
+"""
+_PAGES = r"""
+  select concat('S', page_id % 3 + 1, '-', page_id) as entity_id, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) as business_name, url as business_address, regexp_extract(html, '(?i)<html[^>]*\slang=["'']?([A-Za-z]+)', 1) as country, md5(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) as h from pages
+"""
+_NORM = rf"""), n0 as (
   select entity_id, h, coalesce(business_name, '') as name_raw, coalesce(business_address, '') as address_raw, coalesce(country, '') as country,
     {_clean("business_name")} as name_norm, {_clean("business_address")} as address_norm, {_clean("country")} as country_norm from ent
 ), n1 as (
@@ -93,3 +95,6 @@ ent as (
 ), truth as (
   select a.entity_id as entity_id_s1, b.entity_id as entity_id_other from ent a join ent b on a.h = b.h where a.entity_id like 'S1-%' and b.entity_id not like 'S1-%'
 )"""
+
+#: Common table expressions over documents and over pages: ent (records), n0..n2 and norm (normalised), truth.
+SQL, PAGES_SQL = (f"\nent as ({view}{_NORM}" for view in (_DOCUMENTS, _PAGES))

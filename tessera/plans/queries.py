@@ -15,14 +15,14 @@ from tessera.plans.pipeline import Settings, candidates, link
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
-_sql: dict[str, str] = {}
+_sql: dict[str, tuple[str, str]] = {}
 
 
-def _register(name: str, sql: str | None = None):
+def _register(name: str, sql: str | None = None, view: str = entities.SQL):
     def keep(f: Query) -> Query:
         _queries[name] = f
         if sql is not None:
-            _sql[name] = sql
+            _sql[name] = view, sql
         return f
 
     return keep
@@ -33,7 +33,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: f"with {entities.SQL}\n{v}" if not v.lstrip().startswith(",") else f"with {entities.SQL}{v}" for k, v in _sql.items()}
+    return {k: f"with {view}\n{sql}" if not sql.lstrip().startswith(",") else f"with {view}{sql}" for k, (view, sql) in _sql.items()}
 
 
 def _norm(spark: SparkSession, sf: str) -> DataFrame:
@@ -228,28 +228,32 @@ def _plain(c: str):
     return F.regexp_replace(c, r"[^\x00-\x7F]", "?")
 
 
-@_register("pair_levenshtein", f"{_JOINED} select entity_id_s1, entity_id_other, round({_LEV}, 6) as similarity from j")
+def _page_sides(spark, sf, rarity: bool = False) -> tuple[DataFrame, DataFrame]:
+    n = normalized(entities.page_records(spark, sf))
+    n = _rarity(n) if rarity else n
+    return n.where(F.col("entity_id").startswith("S1-")), n.where(~F.col("entity_id").startswith("S1-"))
+
+
+def _page_pairs(spark, sf, *columns: str) -> DataFrame:
+    left, right = _page_sides(spark, sf)
+    return features.with_records(blocking.pairs_by_rule(left, right).select("entity_id_s1", "entity_id_other").distinct(), left, right, list(columns))
+
+
+@_register("pair_levenshtein", f"{_JOINED} select entity_id_s1, entity_id_other, round({_LEV}, 6) as similarity from j", entities.PAGES_SQL)
 def pair_levenshtein(spark, sf):
-    d = _joined(spark, sf, "name_alnum")
+    d = _page_pairs(spark, sf, "name_alnum")
     return d.select("entity_id_s1", "entity_id_other", F.round(P.levenshtein_similarity(_plain("name_alnum_s1"), _plain("name_alnum_other")), 6).alias("similarity"))
 
 
-@_register("pair_jaro_winkler", f"{_JOINED} select entity_id_s1, entity_id_other, round(jaro_winkler_similarity({_PLAIN['s1']}, {_PLAIN['other']}), 6) as similarity from j where name_alnum_s1 <> '' and name_alnum_other <> ''")
+@_register("pair_jaro_winkler", f"{_JOINED} select entity_id_s1, entity_id_other, round(jaro_winkler_similarity({_PLAIN['s1']}, {_PLAIN['other']}), 6) as similarity from j where name_alnum_s1 <> '' and name_alnum_other <> ''", entities.PAGES_SQL)
 def pair_jaro_winkler(spark, sf):
-    d = _joined(spark, sf, "name_alnum").where("name_alnum_s1 <> '' and name_alnum_other <> ''")
+    d = _page_pairs(spark, sf, "name_alnum").where("name_alnum_s1 <> '' and name_alnum_other <> ''")
     return d.select("entity_id_s1", "entity_id_other", F.round(similarities(_plain("name_alnum_s1"), _plain("name_alnum_other"), "jaro_winkler")["jaro_winkler"], 6).alias("similarity"))
 
 
-def _page_sides(spark, sf, rarity: bool = False) -> tuple[DataFrame, DataFrame]:
-    n = normalized(entities.page_records(spark, sf))
-    n = _rarity(n) if rarity else n
-    return n.where(F.col("entity_id").startswith("S1-")), n.where(~F.col("entity_id").startswith("S1-"))
-
-
 @_register("pair_fuzzy_all")
 def pair_fuzzy_all(spark, sf):
-    left, right = _page_sides(spark, sf)
-    d = features.with_records(blocking.pairs_by_rule(left, right).select("entity_id_s1", "entity_id_other").distinct(), left, right, ["name_alnum", "address_alnum"])
+    d = _page_pairs(spark, sf, "name_alnum", "address_alnum")
     name, addr = similarities(F.col("name_alnum_s1"), F.col("name_alnum_other")), similarities(F.col("address_alnum_s1"), F.col("address_alnum_other"))
     return d.select("entity_id_s1", "entity_id_other", name.alias("n"), addr.alias("a")).select("entity_id_s1", "entity_id_other", "n.*", *(F.col(f"a.{k}").alias(f"address_{k}") for k in ("ratio", "wratio", "partial_ratio")))
 
@@ -412,9 +416,9 @@ def labels(spark, sf):
     return decide.labels(_candidates(spark, sf).select("entity_id_s1", "entity_id_other").distinct(), entities.truth(spark, sf))
 
 
-@_register("matches_outside_candidates", f"{_PAIRS} select distinct t.entity_id_s1, t.entity_id_other from truth t anti join (select * from cand where rule = 'address_number_country') c using (entity_id_s1, entity_id_other)")
+@_register("matches_outside_candidates", _SCORES + " select distinct s.entity_id_s1, s.entity_id_other from (select * from scores where score >= 0.5) s anti join (select * from cand where rule = 'exact_name') c using (entity_id_s1, entity_id_other)")
 def matches_outside_candidates(spark, sf):
-    return decide.outside_candidates(entities.truth(spark, sf), _candidates(spark, sf, rules=["address_number_country"]))
+    return decide.outside_candidates(decide.accepted(_scores(spark, sf), 0.5), _candidates(spark, sf, rules=["exact_name"]))
 
 
 # ---------------------------------------------------------------- samples, audits, checks
