@@ -250,3 +250,16 @@ def _cross_links(base: DataFrame, entries: DataFrame, core: DataFrame, sent, lim
         return pa.table({"a": a, "b": b, "n": c})
 
     return jobs.groupBy("t", "bucket", "p", "q").applyInArrow(run, "a long, b long, n long")
+
+
+ORACLE_SQL = """
+with recursive v as (select vec_id, embedding::double[] as e from embeddings
+), ok as (
+  select * from v where len(e) > 0 and list_bool_and(list_transform(e, lambda x: coalesce(isfinite(x), false))) and list_bool_or(list_transform(e, lambda x: x <> 0))
+), links as (
+  select a.vec_id as a, b.vec_id as b from ok a join ok b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) where list_cosine_similarity(a.e, b.e) >= 0.9
+), reach(vec_id, other) as (select vec_id, vec_id from v union select r.vec_id, l.b from reach r join links l on r.other = l.a
+), n as (select a, count(*) as n from links group by a)
+select v.vec_id, coalesce(n.n, 0)::bigint as n_links, c.component_id, v.vec_id = c.component_id as kept
+from v join (select vec_id, min(other)::bigint as component_id from reach group by vec_id) c using (vec_id) left join n on n.a = v.vec_id
+"""

@@ -78,4 +78,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_decontaminate_benchmark": op4_decontaminate.ORACLE_SQL,
         "op5_token_counts": op5_counts.ORACLE_SQL,
         "op6_mix_sources": op6_mix.ORACLE_SQL,
+        "op7_near_duplicates": op7_embeddings.ORACLE_SQL,
     }

@@ -427,3 +427,115 @@ def test_items_without_an_id(spark):
     bench = spark.createDataFrame([(None, "null id here"), (4, "null id here")], "item_id long, text string")
     r = op4_decontaminate.contamination(docs(spark, [(1, "a null id here")]), bench).first()
     assert (r.n_hit, r.n_items, r.items_sha256) == (3, 1, hashlib.sha256(b"4").hexdigest())
+
+
+def test_quality_parts_by_definition():
+    """Features of a text stand for themselves, ratios are counts, and the fitted weights meet the dual's conditions."""
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(["Ab", "c!", "12", "é", "ab"]) for _ in range(rng.randint(0, 30))) for _ in range(40)] + ["", None, "one", "long " * 4000]
+    together = [f[a:b].tolist() for _, f, at in op1_quality.features(pa.array(texts)) for a, b in zip(at[:-1], at[1:])]
+    alone = [f[at[0] : at[1]].tolist() for t in texts for _, f, at in op1_quality.features(pa.array([t], pa.string()))]
+    assert together == alone and together[-3] == [] and len(together[-2]) == 2
+    rows = [np.array(r, np.int64) for r in together]
+    y = np.array([i % 3 > 0 for i in range(len(rows))], np.int64)
+    ratios = op1_quality.log_count_ratios(rows, y)
+    counts = [collections.Counter(v for r, k in zip(rows, y) if k == label for v in r.tolist()) for label in (1, 0)]
+    totals = [sum(c.values()) + op1_quality.DIMENSIONS for c in counts]
+    for v in {v for r in together for v in r}:
+        assert ratios[v] == pytest.approx(np.log((counts[0][v] + 1) / totals[0]) - np.log((counts[1][v] + 1) / totals[1]))
+    w, b = op1_quality.dual_descent(rows, y, ratios, rounds=300)
+    values = np.zeros((len(rows), op1_quality.DIMENSIONS))
+    for i, r in enumerate(rows):
+        values[i, r] = ratios[r] / np.sqrt(max(len(r), 1))
+    sign = np.where(y == 1, 1.0, -1.0)
+    hinge = lambda w, b: 0.5 * (w @ w + b * b) + np.maximum(0, 1 - sign * (values @ w + b)).sum()
+    best = hinge(w, b)
+    for _ in range(30):
+        step = np.random.default_rng(_).standard_normal(op1_quality.DIMENSIONS) * 0.01
+        assert hinge(w + step, b) > best - 1e-6 and hinge(w, b + 0.01) > best - 1e-6 and hinge(w, b - 0.01) > best - 1e-6
+
+
+def test_chunks_by_brute_force(spark):
+    """Every row against a plain walk over its chunks; repeated rows, ties, nulls and long texts among them."""
+    rng = random.Random(7)
+    some = lambda n: " ".join("".join(rng.choice("abcdefghé") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    shared = [some(60) for _ in range(3)]
+    texts = [(rng.randint(0, 12), " ".join([some(rng.randint(0, 30)), rng.choice(shared), some(5), rng.choice(shared)])) for _ in range(20)]
+    texts += [(13, None), (14, ""), (None, shared[0]), (15, shared[1] * 2), (15, shared[1] * 2), (16, some(4000))]
+    split = lambda t: [(a, b, t.encode()[a:b]) for _, s, e, _ in op8_chunks.chunks(pa.array([t])) for a, b in zip(s.tolist(), e.tolist())] if t else []
+    order = lambda i: -1 if i is None else i
+    want = []
+    for i, t in texts:
+        before = {c for j, u in texts if order(j) < order(i) for _, _, c in split(u)}
+        runs, own = [], set()
+        for a, b, c in split(t):
+            if c in before or c in own:
+                runs = [*runs[:-1], (runs[-1][0], b)] if runs and runs[-1][1] == a else [*runs, (a, b)]
+            own.add(c)
+        raw, gone = (t or "").encode(), 0
+        for a, b in runs:
+            gone += b - a if b - a >= min(op8_chunks.RUN, len(raw)) else 0
+        want.append((i, len(raw), gone))
+    got = [(r.doc_id, r.n_bytes, r.n_removed) for r in op8_chunks.dedup(docs(spark, texts)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_pipeline_stages_by_brute_force(spark, tmp_path):
+    """Each stage on its predecessor's rows against a plain account of what it should keep."""
+    import re
+
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    items = [text(14), text(25)]
+    texts = [text(rng.randint(20, 60)) for _ in range(60)]
+    texts = [t if i % 5 else t.replace(" ", "!! ") for i, t in enumerate(texts)]
+    texts[7], texts[8], texts[9] = texts[6], f"{texts[8]} {items[0].upper()} {text(30)}", items[1]
+    rows = [(i, t, "en", "ab"[i % 2], len(t)) for i, t in enumerate([*texts, None, "", "long text " * 2000])]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(i, int(bool(i % 5)), 0) for i in range(60)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    before, out = found.collect(), {}
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, found, str(tmp_path)).write.parquet(f"{tmp_path}/{k}")
+        found = spark.read.parquet(f"{tmp_path}/{k}")
+        out[k] = found.collect()
+        if k < 4:
+            assert found.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    model = op1_quality.train(spark.createDataFrame(rows, schema), spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    scores = model.scores(pa.array([r.text for r in before], pa.string()))
+    assert sorted(map(tuple, out[0])) == sorted(tuple(r) for r, s in zip(before, scores) if s >= 0.7)
+    assert {i for i in range(60) if i % 5} - {9} <= {r.doc_id for r in out[0]} and not {i for i in range(0, 60, 5)} & {r.doc_id for r in out[0]}
+
+    def shingles(t):
+        w = (t or "").split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} - {()}
+
+    sets = {r.doc_id: shingles(r.text) for r in out[0]}
+    gone = {a for a in sets for b in sets if b < a and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert sorted(map(tuple, out[1])) == sorted(tuple(r) for r in out[0] if r.doc_id not in gone) and 7 in gone
+
+    windows = {tuple(w[i : i + 10]) for w in (re.findall("[a-z0-9]+", t.lower()) for t in items) for i in range(len(w) - 9)}
+    for r in out[1]:
+        w = re.findall("[a-z0-9]+", (r.text or "").lower())
+        hit = {j for i in range(len(w) - 9) if tuple(w[i : i + 10]) in windows for j in range(i, i + 10)}
+        kept = [x.text for x in out[2] if x.doc_id == r.doc_id]
+        assert kept == ([] if hit and 2 * len(hit) > len(w) else [r.text] if not hit else kept)
+        if hit and kept:
+            assert re.findall("[a-z0-9]+", kept[0].lower()) == [x for j, x in enumerate(w) if j not in hit]
+
+    taken = {r.doc_id: r.taken for r in op6_mix.mix(spark.read.parquet(f"{tmp_path}/2")).collect()}
+    mixed = collections.Counter()
+    for r in out[3]:
+        mixed[r.doc_id] += len(r.text.split())
+    assert mixed == collections.Counter({k: v for k, v in taken.items() if v})
+
+    own = op9_tokens.encoder(public_tokenizers.path(corpus_pipeline.TOKENIZER)).own
+    ids = [(r.doc_id, own.encode(r.text, add_special_tokens=False).ids + [2]) for r in out[3]]
+    assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in out[4]) == sorted((k, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for k, x in ids)
+    starts = sorted(out[4], key=lambda r: r.start)
+    assert [r.start for r in starts] == np.cumsum([0] + [r.n_tokens for r in starts])[:-1].tolist() and [r.doc_id for r in starts] == sorted(r.doc_id for r in starts)
