@@ -49,13 +49,15 @@ def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or an own one where that is unset."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir; on one machine, where that is unset, an own one."""
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or getattr(sc, "_tessera_dir", None)
     if path is None:
         found = sc._jsc.sc().getCheckpointDir()
         path = found.get() if found.isDefined() else None
     if path is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="tessera-")
         _own_dirs.append(path[7:])
         sc._tessera_dir = path

@@ -165,6 +165,7 @@ def is_held_out(doc_id) -> F.Column:
 
 def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fits on at most sample_rows labelled documents that are not held out; a document labelled twice counts as its mean label, rounded up.
+    Of repeated rows of a document one counts, that of the least features.
 
     The sample's feature numbers, not its texts, come to the driver: some 5 KB a row, so sample_rows bounds them.
     """
@@ -186,8 +187,7 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample_
                 yield pa.RecordBatch.from_arrays([keys, pa.array(packed, pa.binary())], schema=schema)
 
     picked = docs.select(F.col("doc_id").cast("long").alias("k"), F.col("text").cast("string").alias("t")).where("k is not null")
-    got = picked.mapInArrow(frugal(run), "k long, f binary").toArrow().sort_by([("k", "ascending")])
-    # repeated rows of one document: as many as the table holds, in an order of their own content
+    got = picked.mapInArrow(frugal(run), "k long, f binary").groupBy("k").agg(F.min("f").alias("f")).toArrow()
     pairs = sorted(zip(got.column("k").to_pylist(), got.column("f").to_pylist()))
     rows = [np.frombuffer(f, "<u4").astype(np.int64) for _, f in pairs]
     order = sorted(range(len(pairs)), key=lambda i: (zlib.crc32(str(pairs[i][0]).encode()), i))

@@ -9,8 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import frugal, ship
-from tessera.llm.kernels import LETTER_DIGIT, LOWER, merged, slices, utf8, word_bounds, word_hashes as hashes_of
+from tessera.llm.common import BATCH_BYTES, frugal, ship
+from tessera.llm.kernels import LETTER_DIGIT, LOWER, SLICE_BYTES, merged, slices, utf8, word_bounds, word_hashes as hashes_of
 
 #: Words of a window that counts as contamination.
 WINDOW = 10
@@ -141,13 +141,13 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str, most: int = BLOCK_W
 class Scanner:
     """Finds windows in Arrow text columns."""
 
-    def __init__(self, automata):
-        self.automata = automata
+    def __init__(self, automata, slice_bytes: int = SLICE_BYTES):
+        self.automata, self.slice_bytes = automata, slice_bytes
 
     def scan(self, column: pa.Array) -> Iterator[tuple[int, int, list[tuple[int, int]], set, np.ndarray, np.ndarray]]:
         """Per text: row, number of words, hit spans in words, items, first byte and end of each word."""
         data, offsets = utf8(column)
-        for i, j in slices(offsets):
+        for i, j in slices(offsets, self.slice_bytes):
             part, cuts = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
             low = LOWER[part]
             starts, ends = word_bounds(low, cuts, LETTER_DIGIT)
@@ -199,7 +199,8 @@ def _scanner_maker(docs: DataFrame, benchmark: DataFrame, window: int, item_id:
         def __iter__(self):
             return automata()
 
-    return lambda: Scanner(Again())
+    # of several automata each is built anew for a slice: then a slice is a whole Arrow batch
+    return lambda: Scanner(Again(), SLICE_BYTES if len(sent) == 1 else BATCH_BYTES)
 
 
 _FOUND = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_())])

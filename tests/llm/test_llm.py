@@ -43,6 +43,36 @@ def test_empty_tables_and_edges(spark):
     assert [r.text for r in op3_html.extract(p).orderBy("page_id").collect()] == ["", "", "a&b"]
 
 
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from tessera.llm import common
+
+    class Conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class Elsewhere:
+        conf = Conf
+
+        class sparkContext:
+            master, _tessera_dir = "spark://host:7077", None
+
+            class _jsc:
+                @staticmethod
+                def sc():
+                    return type("C", (), {"getCheckpointDir": staticmethod(lambda: type("O", (), {"isDefined": staticmethod(lambda: False)}))})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        common.shared_dir(Elsewhere)
+
+
+def test_repeated_labelled_rows_count_once(spark):
+    """However often a labelled document is repeated, one row of it comes to the driver; the model stays the same."""
+    texts = [(i, f"good words {i} here" if i % 2 else f"bad!! stuff!! {i}") for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    once, often = docs(spark, texts), docs(spark, texts * 3)
+    a, b = op1_quality.train(once, labels), op1_quality.train(often, labels)
+    assert (a.weights == b.weights).all() and (a.bias, a.slope, a.shift) == (b.bias, b.slope, b.shift)
+
+
 def test_quality_held_out_accuracy(spark):
     rng = random.Random(1)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8)))
@@ -493,7 +523,7 @@ def test_pipeline_stages_by_brute_force(spark, tmp_path):
     texts = [text(rng.randint(20, 60)) for _ in range(60)]
     texts = [t if i % 5 else t.replace(" ", "!! ") for i, t in enumerate(texts)]
     texts[7], texts[8], texts[9] = texts[6], f"{texts[8]} {items[0].upper()} {text(30)}", items[1]
-    rows = [(i, t, "en", "ab"[i % 2], len(t)) for i, t in enumerate([*texts, None, "", "long text " * 2000])]
+    rows = [(i, t, "en", "ab"[i % 2], len(t or "")) for i, t in enumerate([*texts, None, "", "long text " * 2000])]
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
@@ -539,3 +569,16 @@ def test_pipeline_stages_by_brute_force(spark, tmp_path):
     assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in out[4]) == sorted((k, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for k, x in ids)
     starts = sorted(out[4], key=lambda r: r.start)
     assert [r.start for r in starts] == np.cumsum([0] + [r.n_tokens for r in starts])[:-1].tolist() and [r.doc_id for r in starts] == sorted(r.doc_id for r in starts)
+
+
+def test_several_automata_find_what_one_finds(spark, monkeypatch):
+    rng = random.Random(13)
+    words = [f"w{i}" for i in range(40)]
+    some = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(i, some(rng.randint(1, 30))) for i in range(12)]
+    d = docs(spark, [(i, f"{some(rng.randint(0, 40))} {rng.choice(items)[1]} {some(5)}") for i in range(40)] + EDGES)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    one = sorted(map(str, op4_decontaminate.contamination(d, bench).collect()))
+    own = op4_decontaminate.blocks
+    monkeypatch.setattr(op4_decontaminate, "blocks", lambda *a: own(*a, most=20))
+    assert sorted(map(str, op4_decontaminate.contamination(d, bench).collect())) == one
