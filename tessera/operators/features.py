@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from tessera.functions import pairs as P
 from tessera.functions.similarity import KINDS, similarities
 
-#: Columns of a normalised record that features read.
+#: Columns of a normalised record that features read. Fixed values, as are the names of features below.
 RECORD = ["name_norm", "name_alnum", "name_core", "name_compact", "name_tokens", "name_sorted", "name_numbers", "address_alnum", "address_tokens", "address_numbers", "address_postal", "country_norm"]
 
 

@@ -36,7 +36,7 @@ def _boosted(**kw):
     return [GBTClassifier(featuresCol="raw", weightCol="weight", maxDepth=kw.pop("maxDepth", 8), maxIter=kw.pop("maxIter", 300), stepSize=kw.pop("stepSize", 0.08), seed=42, **kw)]
 
 
-#: Estimators by name; add to it to register another.
+#: Estimators by name; add to it to register another. The numbers in them, and the rule's weights, are fixed values.
 BUILDERS = {"logistic": _logistic, "forest": _forest, "extra_trees": _extra_trees, "boosted": _boosted}
 
 
