@@ -110,19 +110,20 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges: columns a, b (same orderable type, not null). Returns node, component, the smallest node reachable.
     Nodes without an edge do not appear. Every edge points from its greater end x to a parent p. A round gives each x its
     least parent, tells its other parents of that one, and replaces parents by their own least parents, so paths halve.
-    A round joins on parents, whose rows a hot one may have many of; such a join is split at run time.
+    Only parents that have parents themselves are looked up: the root of a large component, which most rows point to, is no
+    key of that join, and where few are left they are broadcast.
     """
     own = F.struct(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("p"))
-    rows = _plain(cut(edges.where("a <> b").select(own.alias("e")).select("e.*").distinct()))
+    rows = edges.where("a <> b").select(own.alias("e")).select("e.*")
     while True:
-        dealt = rows.select("x", "p").repartition("x")
-        least = dealt.groupBy("x").agg(F.min("p").alias("m"))
-        told = dealt.join(least, "x")
-        told = told.select("x", F.col("m").alias("p"), (F.col("p") != F.col("m")).alias("c")).union(told.where("p <> m").select(F.col("p").alias("x"), F.col("m").alias("p"), F.lit(True).alias("c")))
-        up = least.select(F.col("x").alias("q"), F.col("m").alias("r"))
-        jumped = told.join(up, F.col("p") == F.col("q"), "left").select("x", F.coalesce("r", "p").alias("p"), (F.col("c") | F.col("r").isNotNull()).alias("c"))
-        rows = _plain(cut(jumped.groupBy("x", "p").agg(F.max("c").alias("c"))))
-        if not rows.where("c").limit(1).count():
+        dealt = rows.repartition("x").distinct()
+        told = dealt.join(dealt.groupBy("x").agg(F.min("p").alias("m")), "x")
+        several = told.where("p <> m").select(F.col("p").alias("x"), F.col("m").alias("p"), F.lit(True).alias("c"))
+        told = _plain(cut(told.select("x", F.col("m").alias("p"), (F.col("p") != F.col("m")).alias("c")).union(several)))
+        up = told.groupBy(F.col("x").alias("p")).agg(F.min("p").alias("r"))
+        jumps = _plain(cut(told.select("p").distinct().join(up, "p")))
+        if not jumps.limit(1).count() and not told.where("c").limit(1).count():
             break
-    roots = rows.select(F.col("p").alias("node"), F.col("p").alias("component")).distinct()
-    return rows.select(F.col("x").alias("node"), F.col("p").alias("component")).union(roots)
+        rows = told.join(small(jumps), "p", "left").select("x", F.coalesce("r", "p").alias("p"))
+    roots = told.select(F.col("p").alias("node"), F.col("p").alias("component")).distinct()
+    return told.select(F.col("x").alias("node"), F.col("p").alias("component")).union(roots)

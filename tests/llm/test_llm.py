@@ -582,3 +582,21 @@ def test_several_automata_find_what_one_finds(spark, monkeypatch):
     own = op4_decontaminate.blocks
     monkeypatch.setattr(op4_decontaminate, "blocks", lambda *a: own(*a, most=20))
     assert sorted(map(str, op4_decontaminate.contamination(d, bench).collect())) == one
+
+
+def test_components_by_brute_force(spark, monkeypatch):
+    from tessera.llm import common
+
+    rng = random.Random(17)
+    graphs = [[(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 30)] + [(99, i) for i in range(20, 40)], [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(45)], [(5, 5)], []]
+    for limit in (50_000, 0):
+        monkeypatch.setattr(common, "BROADCAST_ROWS", limit)
+        monkeypatch.setattr(common.small, "__defaults__", (limit,))
+        for g in graphs:
+            label = {v: v for e in g for v in e if e[0] != e[1]}
+            for _ in label:
+                for a, b in g:
+                    if a != b:
+                        label[a] = label[b] = min(label[a], label[b])
+            got = common.connected_components(spark.createDataFrame(g, "a long, b long")).collect()
+            assert sorted(map(tuple, got)) == sorted(label.items())
