@@ -142,6 +142,12 @@ def test_views_read_whole_texts(spark, tmp_path):
     r = {x.entity_id: x for x in entities.records(spark, str(tmp_path)).collect()}
     assert all(f"{r[e].business_name}\n{r[e].business_address}" == texts[i][1] for i, e in ((0, "S1-0"), (1, "S2-1"), (2, "S3-2")))
     assert (r["S1-3"].business_name, r["S1-3"].business_address, r["S2-4"].business_name) == ("one line only", "", None)
+    title, end = "a title with many words in it " * 9, "that no other has"
+    pages = [(0, "http://a.example/75001", title + "and one"), (1, "http://a.example/75001", title + "and one"), (2, "http://a.example/75001", title + "and another end " + end * 9), (3, None, None)]
+    html = lambda t: None if t is None else f"<!DOCTYPE html>\n<html lang='en'><head><meta charset=utf-8><TITLE>{t}</TITLE></head><body>text</body></html>"
+    spark.createDataFrame([(i, u, html(t)) for i, u, t in pages], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    r = {x.entity_id: x for x in entities.page_records(spark, str(tmp_path)).collect()}
+    assert (r["S1-0"].business_name, r["S1-0"].business_address, r["S1-0"].country) == (title + "and one", "http://a.example/75001", "en") and r["S1-3"].business_name is None
     scores = {x.entity_id_other: x.score for x in queries.queries()["rule_score"](spark, str(tmp_path)).where("entity_id_s1 = 'S1-0'").collect()}
     assert scores["S2-1"] == 1 and scores["S3-2"] < 0.9
 
@@ -150,8 +156,6 @@ def test_queries_take_production_limits(spark, tmp_path, monkeypatch):
     from tessera.operators import models
     from tessera.plans import queries
 
-    rows = [(i, f"same name\nplace {i}", "en") for i in range(75)]
-    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
     pages = [(i, f"http://place.example/{i}", "<html lang='en'><head><title>same name</title></head></html>") for i in range(75)]
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
     found = queries.queries()
