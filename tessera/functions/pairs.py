@@ -17,6 +17,11 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / union)
 
 
+def jaccard_of(common: Column, n: Column, m: Column) -> Column:
+    """The same from the number of common items and each side's number of distinct ones: no set is built twice."""
+    return F.when(n + m == 0, 1.0).otherwise(common / (n + m - common))
+
+
 def common_count(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b))
 

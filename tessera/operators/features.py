@@ -29,10 +29,22 @@ def with_rarity(records: DataFrame, idf: DataFrame, tokens_col: str, prefix: str
     return out.withColumn(f"{prefix}_avg_idf", F.when(F.size(tokens_col) > 0, total / F.size(tokens_col)).otherwise(0.0))
 
 
+#: Characters up to which one side's records are broadcast to the pairs; more are joined by a shuffle.
+BROADCAST_CHARS = 32 << 20
+
+
+def _bounded(records: DataFrame) -> DataFrame:
+    """records, marked for broadcast if a count of their characters allows it: a pair then never carries texts through a shuffle."""
+    chars = sum((F.coalesce(F.octet_length(F.concat_ws(" ", c)), F.lit(0)) for c, kind in records.dtypes if kind in ("string", "array<string>")), F.lit(16))
+    chars = sum((30 * F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)) for c, kind in records.dtypes if kind.startswith("map")), chars)
+    total = records.agg(F.coalesce(F.sum(chars.cast("long")), F.lit(0))).first()[0]
+    return F.broadcast(records) if total <= BROADCAST_CHARS else records
+
+
 def with_records(pairs: DataFrame, left: DataFrame, right: DataFrame, columns: list[str] = RECORD) -> DataFrame:
     """Pairs with both records' columns, suffixed _s1 and _other; ids without a record give nulls. Late: only pairs carry them."""
     side = lambda d, s: d.select(*(F.col(c).alias(f"{c}_{s}") for c in ["entity_id", *columns]))
-    return pairs.join(side(left, "s1"), "entity_id_s1", "left").join(side(right, "other"), "entity_id_other", "left")
+    return pairs.join(_bounded(side(left, "s1")), "entity_id_s1", "left").join(_bounded(side(right, "other")), "entity_id_other", "left")
 
 
 def features(pairs: DataFrame, left: DataFrame, right: DataFrame, only: Sequence[str] | None = None) -> DataFrame:

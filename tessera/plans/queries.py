@@ -182,8 +182,7 @@ _JOINED = f"{_PAIRS}, j as (select p.*, " + ", ".join(f"a.{c} as {c}_s1, b.{c} a
 
 
 def _joined(spark, sf, *columns: str) -> DataFrame:
-    n = _norm(spark, sf)
-    return features.with_records(_candidates(spark, sf).select("entity_id_s1", "entity_id_other").distinct(), n, n, list(columns))
+    return features.with_records(_candidates(spark, sf).select("entity_id_s1", "entity_id_other").distinct(), *_sides(spark, sf), list(columns))
 
 
 def _jaccard_sql(c: str) -> str:
@@ -193,9 +192,13 @@ def _jaccard_sql(c: str) -> str:
 
 @_register("pair_set_features", f"{_JOINED} select entity_id_s1, entity_id_other, {_jaccard_sql('name_tokens')} as name_jaccard, {_jaccard_sql('address_tokens')} as address_jaccard, len(list_intersect(name_tokens_s1, name_tokens_other))::int as common, round(len(list_intersect(name_tokens_s1, name_tokens_other)) / greatest(1, least(len(name_tokens_s1), len(name_tokens_other)))::double, 6) as common_ratio from j")
 def pair_set_features(spark, sf):
-    d = _joined(spark, sf, "name_tokens", "address_tokens")
-    a, b = F.col("name_tokens_s1"), F.col("name_tokens_other")
-    return d.select("entity_id_s1", "entity_id_other", F.round(P.jaccard(a, b), 6).alias("name_jaccard"), F.round(P.jaccard(F.col("address_tokens_s1"), F.col("address_tokens_other")), 6).alias("address_jaccard"), P.common_count(a, b).alias("common"), F.round(P.common_ratio(a, b), 6).alias("common_ratio"))
+    kinds = ("name", "address")
+    n = _norm(spark, sf).withColumns({f"{k}_distinct": F.size(F.array_distinct(f"{k}_tokens")) for k in kinds})
+    d = features.with_records(_candidates(spark, sf).select("entity_id_s1", "entity_id_other").distinct(), n, n, [f"{k}_{c}" for k in kinds for c in ("tokens", "distinct")])
+    d = d.withColumns({f"{k}_common": P.common_count(F.col(f"{k}_tokens_s1"), F.col(f"{k}_tokens_other")) for k in kinds})
+    name, address = (F.round(P.jaccard_of(F.col(f"{k}_common"), F.col(f"{k}_distinct_s1"), F.col(f"{k}_distinct_other")), 6).alias(f"{k}_jaccard") for k in kinds)
+    shorter = F.greatest(F.lit(1), F.least(F.size("name_tokens_s1"), F.size("name_tokens_other")))
+    return d.select("entity_id_s1", "entity_id_other", name, address, F.col("name_common").alias("common"), F.round(F.col("name_common") / shorter, 6).alias("common_ratio"))
 
 
 @_register("pair_number_features", f"{_JOINED} select entity_id_s1, entity_id_other, {_jaccard_sql('name_numbers')} as digit_jaccard, (list_sort(name_numbers_s1) = list_sort(name_numbers_other) and len(name_numbers_s1) + len(name_numbers_other) > 0)::int as digit_exact, (address_numbers_s1 = address_numbers_other and len(address_numbers_s1) + len(address_numbers_other) > 0)::int as number_sequence, (address_postal_s1 = address_postal_other and address_postal_s1 <> '')::int as postal_agree, (address_postal_s1 = '' or address_postal_other = '')::int as postal_missing from j")
