@@ -249,12 +249,6 @@ def unpacked(packed: bytes | memoryview, width: int) -> np.ndarray:
     return x << _U(24) | (np.arange(len(x)) - first).astype(_U)
 
 
-def shared(x: np.ndarray, y: np.ndarray) -> int:
-    c = np.concatenate([x, y])
-    c.sort()
-    return int((c[1:] == c[:-1]).sum())
-
-
 def common_counts(sets: list[np.ndarray]) -> np.ndarray:
     """How many items every two of the sets share, as a matrix; the diagonal is not filled."""
     m = len(sets)
@@ -288,8 +282,8 @@ def _ramp(sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)
 
 
-def compared(nodes: list[int], sets: list[np.ndarray], num: int, den: int, width: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Of one group: links that connect what its links connect, and pairs that whole shingles must decide.
+def compared(nodes: list[int], sets: list[np.ndarray], num: int, den: int, width: int) -> tuple[list[tuple[int, int]], list[int]]:
+    """Of one group: links that connect what its links connect, and the members of pairs that whole shingles must decide.
 
     Three bytes of a shingle count every common one and some by chance, n * m / 2^24 in the mean. Where chance could tip
     the scale and no other links join the pair, it is left to be decided.
@@ -314,7 +308,7 @@ def compared(nodes: list[int], sets: list[np.ndarray], num: int, den: int, width
         label = new
     links = [(nodes[label[v]], nodes[v]) for v in np.flatnonzero(label != np.arange(m)).tolist()]
     i, j = np.nonzero(may & ~sure & (label[:, None] != label[None, :]))
-    return links, [(nodes[a], nodes[b]) for a, b in zip(i.tolist(), j.tolist())]
+    return links, [nodes[v] for v in np.union1d(i, j).tolist()]
 
 
 def _by_group(batches: Iterator[pa.RecordBatch], solve) -> Iterator[pa.RecordBatch]:
@@ -349,24 +343,26 @@ def _hopeful(dealt: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFram
     return full.repartition("g", "h").sortWithinPartitions("g", "h", "node").mapInArrow(frugal(run), "g long, h long, node long")
 
 
-def _solved(dealt: DataFrame, nodes: DataFrame, sets: DataFrame, num: int, den: int, width: int) -> DataFrame:
-    """a, b, sure of every group; dealt: g, h, node (a group is known by g and h)."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sure", pa.bool_())])
-    near = cut(_hopeful(dealt, nodes, num, den))
+def _solved(near: DataFrame, sets: DataFrame, num: int, den: int, width: int) -> DataFrame:
+    """a, b of the links of every group, and, where b is null, the members a of group g, h that whole shingles must decide.
 
-    def solve(_, nodes: list[int], packed: list) -> Iterator[pa.RecordBatch]:
+    near: g, h, node (a group is known by g and h). A group of m members makes less than 2 * m rows, however many of its
+    pairs are open.
+    """
+    schema = pa.schema([("g", pa.int64()), ("h", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+
+    def solve(at, nodes: list[int], packed: list) -> Iterator[pa.RecordBatch]:
         if len(nodes) > 1:
             links, open_ = compared(nodes, [unpacked(p.as_buffer(), width) for p in packed], num, den, width)
-            if links or open_:
-                a, b = zip(*links, *open_)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([True] * len(links) + [False] * len(open_))], schema=schema)
+            if rows := [(*at, a, b) for a, b in links] + [(*at, a, None) for a in open_]:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _by_group(batches, solve)
 
     own = sets.join(small(cut(near.select("node").distinct())), "node")
     full = near.join(own, "node").select("g", "h", "node", "items")
-    return full.repartition("g", "h").sortWithinPartitions("g", "h", "node").mapInArrow(frugal(run), "a long, b long, sure boolean")
+    return full.repartition("g", "h").sortWithinPartitions("g", "h", "node").mapInArrow(frugal(run), "g long, h long, a long, b long")
 
 
 def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
@@ -415,31 +411,32 @@ def _components(docs: DataFrame, nodes: DataFrame, index: DataFrame, k: int, num
     sizes = cut(stars.join(nodes.select("node", "n"), "node").groupBy("hub").agg(parts))
     dealt = stars.join(small(sizes), "hub").select(F.col("hub").alias("g"), F.pmod(F.xxhash64("node", "hub"), F.col("parts")).alias("h"), "node")
     dealt = dealt.union(sizes.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)), "hub"))
-    found = cut(_solved(dealt, nodes.select("node", "n", "ranges"), _sets(docs, k, 3, salt), num, den, 3))
-    label = cut(connected_components(found.where("sure").select("a", "b")))
+    nodes = nodes.select("node", "n", "ranges")
+    found = cut(_solved(cut(_hopeful(dealt, nodes, num, den)), _sets(docs, k, 3, salt), num, den, 3))
+    label = cut(connected_components(found.where("b is not null").select("a", "b")))
 
     more = [found]
     large = sizes.where("parts > 1").select("hub")
     if large.limit(1).count():
         members = stars.join(small(cut(large)), "hub").union(large.select("hub", "hub")).join(nodes.select("node", "n"), "node")
         again = cut(_across(members, label))
-        more.append(cut(_solved(again, nodes.select("node", "n", "ranges"), _sets(docs, k, 3, salt), num, den, 3)))
-    open_ = reduce(DataFrame.union, (d.where("not sure") for d in more)).select("a", "b").distinct()
-    open_ = cut(_apart(open_, label, "a", "b"))
-    links = [d.where("sure").select("a", "b") for d in more]
+        again = cut(_solved(cut(_hopeful(again, nodes, num, den)), _sets(docs, k, 3, salt), num, den, 3))
+        more.append(again.withColumn("h", -1 - F.col("h")))  # not the groups of the first round
+    links = [d.where("b is not null").select("a", "b") for d in more]
+    open_ = cut(_apart(reduce(DataFrame.union, (d.where("b is null") for d in more)).select("g", "h", F.col("a").alias("node")), label))
     if open_.limit(1).count():
-        links.append(_decided(open_, _sets(docs, k, 8, salt), num, den))
+        links.append(_solved(open_, _sets(docs, k, 8, salt), num, den, 8).select("a", "b"))
     elif len(more) == 1:
         return label
     known = label.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     return connected_components(reduce(DataFrame.union, [known, *links[1:]]))
 
 
-def _apart(pairs: DataFrame, label: DataFrame, a: str, b: str) -> DataFrame:
-    """The pairs whose ends lie in different components so far."""
-    for c, end in (("ca", a), ("cb", b)):
-        pairs = pairs.join(label.select(F.col("node").alias(end), F.col("component").alias(c)), end, "left")
-    return pairs.where(F.coalesce("ca", a) != F.coalesce("cb", b)).drop("ca", "cb")
+def _apart(members: DataFrame, label: DataFrame) -> DataFrame:
+    """The groups' members, of groups that do not lie in one component so far."""
+    own = members.join(label, "node", "left").select("g", "h", "node", F.coalesce("component", "node").alias("c"))
+    apart = own.groupBy("g", "h").agg(F.min("c").alias("c"), F.max("c").alias("last")).where("c <> last").select("g", "h")
+    return own.join(small(cut(apart)), ["g", "h"]).select("g", "h", "node")
 
 
 def _across(members: DataFrame, label: DataFrame) -> DataFrame:
@@ -465,24 +462,6 @@ def _across(members: DataFrame, label: DataFrame) -> DataFrame:
     return own.select(F.col("hub").alias("g"), F.explode(F.when(F.col("is_main"), for_main).otherwise(F.concat(with_others, with_mains))).alias("h"), "node")
 
 
-def _decided(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """a, b of the pairs that link by whole shingles."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    own = cut(sets.join(small(cut(ends)), "node").dropDuplicates(["node"]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for p, q in zip(batch.column(2), batch.column(3)):
-                x, y = unpacked(p.as_buffer(), 8), unpacked(q.as_buffer(), 8)
-                c = shared(x, y)
-                keep.append(den * c >= num * (len(x) + len(y) - c))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    both = pairs.join(own.withColumnsRenamed({"node": "a", "items": "x"}), "a").join(own.withColumnsRenamed({"node": "b", "items": "y"}), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(frugal(run), "a long, b long")
-
-
 def _with_node(docs: DataFrame, k: int, salt: int) -> DataFrame:
     """docs with __node, the name of each row's set of shingles; null for empty sets."""
     at, names = docs.columns.index("text"), [*docs.columns, "__node"]

@@ -135,6 +135,24 @@ def test_groups_by_brute_force(spark, monkeypatch, items, clash):
     assert got == {i: (len(sets[i]), label[i]) for i in range(90)}
 
 
+def test_open_pairs_make_rows_by_member(spark, monkeypatch):
+    """Near copies that three bytes of a shingle cannot decide: rows grow with the members of a group, not with their pairs."""
+    base = [f"w{i}" for i in range(57)]
+    texts = [(i, " ".join([*base, *(f"v{i}_{j}" for j in range(3 + 2 * (i % 2)))])) for i in range(80)]
+    made, own = [], op2_jaccard._solved
+
+    def counted(near, *args):
+        out = op2_jaccard.cut(own(near, *args))
+        made.append((near.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(op2_jaccard, "_solved", counted)
+    got = {r.doc_id: r.component_id for r in op2_jaccard.groups(docs(spark, texts)).collect()}
+    # 54 of 60 shingles link the even ones, 54 of 62 those with the odd ones, 54 of 64 do not link the odd ones alone
+    assert got == {i: 0 for i in range(80)}
+    assert len(made) == 2 and all(rows < 2 * members for members, rows in made)
+
+
 def test_one_of_each_by_brute_force(spark):
     """Ids of several rows lose only the rows that are copies; the pipeline's second stage is this function."""
     import corpus_pipeline
