@@ -278,3 +278,35 @@ def test_sinks_and_checks(spark, tmp_path):
     log = str(tmp_path / "log")
     files.append_experiments(spark, log, spark.createDataFrame([(1, "a")], "x int, y string"))
     assert sorted(map(str, files.append_experiments(spark, log, spark.createDataFrame([(2, 0.5)], "x int, z double")).select("x", "y", "z").collect())) == ["Row(x=1, y='a', z=None)", "Row(x=2, y=None, z=0.5)"]
+
+
+def test_overlaps_by_brute_force(spark, monkeypatch):
+    """Sets meet in cells, whatever their number, and a pair's row carries no set."""
+    from tessera.operators import features
+
+    rng = random.Random(11)
+    side = lambda s, n: [(f"{s}-{i}", sorted(rng.sample(range(40), rng.randint(0, 12))), i) for i in range(n)]
+    l, r = side("S1", 30), side("S2", 50)
+    pairs = [(a[0], b[0]) for a in l for b in r if rng.random() < 0.3]
+    frame = lambda rows: spark.createDataFrame([(i, s, [x / 8 for x in s], n) for i, s, n in rows], "entity_id string, s array<long>, v array<double>, n int")
+    sets, numbers = ({i: x[k] for x in (*l, *r) for i in [x[0]]} for k in (1, 2))
+    for items in (1 << 21, 60):
+        monkeypatch.setattr(features, "CELL_ITEMS", items)
+        given = spark.createDataFrame(pairs, "entity_id_s1 string, entity_id_other string")
+        got = features.overlaps(given, frame(l), frame(r), ["s"], numbers=["n"]).collect()
+        assert sorted(map(tuple, got)) == sorted((a, b, len({*sets[a]} & {*sets[b]}), numbers[a], numbers[b]) for a, b in pairs)
+        got = features.overlaps(given, frame(l), frame(r), ["s"], weights="v").collect()
+        assert sorted(map(tuple, got)) == sorted((a, b, sum({*sets[a]} & {*sets[b]}) / 8) for a, b in pairs)
+
+
+def test_pair_queries_carry_no_texts(spark):
+    """Nothing that is shuffled for a candidate pair or kept for a key grows with the texts: whole addresses are keys by digest."""
+    from tessera.operators import blocking
+
+    rec = lambda i: (i, "n", "n", ["n"], "n", "a" * 5000 + i[-1], "1", "c")
+    d = spark.createDataFrame([rec("S1-1"), rec("S2-1"), rec("S2-2")], "entity_id string, name_norm string, name_compact string, name_tokens array<string>, name_first_token string, address_norm string, address_first_number string, country_norm string")
+    left, right = d.where("entity_id like 'S1%'"), d.where("entity_id like 'S2%'")
+    assert [r.entity_id_other for r in blocking.pairs_by_rule(left, right, rules=["exact_address"]).collect()] == ["S2-1"]
+    l, r = (blocking.postings(x, ["exact_address"]) for x in (left, right))
+    met = blocking._met(l, r.withColumn("source", blocking.source_of("entity_id")))
+    assert max(len(x.key) for x in met.collect()) == 33
