@@ -310,3 +310,30 @@ def test_pair_queries_carry_no_texts(spark):
     l, r = (blocking.postings(x, ["exact_address"]) for x in (left, right))
     met = blocking._met(l, r.withColumn("source", blocking.source_of("entity_id")))
     assert max(len(x.key) for x in met.collect()) == 33
+
+
+def test_retrieval_shuffles_no_weights(spark, monkeypatch):
+    """Blocks, slices and the dense part of any size give what the products of weights give; only the k best rows are shuffled."""
+    from tessera.operators import retrieval
+
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdé") for _ in range(rng.randint(1, 6)))
+    rows = [(f"S{1 + i % 3}-{i}", " ".join(word() for _ in range(rng.randint(0, 5)))) for i in range(60)] + [("S2-900", "same words"), ("S2-1000", "same words"), ("S1-901", "same words"), ("S1-902", None)]
+    d = spark.createDataFrame(rows, "entity_id string, name_alnum string")
+    left, right = d.where("entity_id like 'S1-%'"), d.where("entity_id not like 'S1-%'")
+    idf = retrieval.fit(d, "name_alnum").persist()
+    want = {(r.entity_id_s1, r.entity_id_other): (r.score, r.rank) for r in retrieval.top_k(*(retrieval.weights(x, "entity_id", "name_alnum", idf) for x in (left, right)), 3).collect()}
+    tally = {}
+    for _, text in rows:
+        grams = [g for w in (text or "").split() for n in (3, 4, 5) if n == 3 or n <= len(w) + 2 for g in (f" {w} "[i : i + n] for i in range(len(w) + 3 - n))]
+        for g in set(grams):
+            df, total = tally.get(g, (0, 0))
+            tally[g] = df + 1, total + grams.count(g)
+    assert {r.gram: (r.df, r.total) for r in spark.createDataFrame([(t or "",) for _, t in rows], "text string").mapInArrow(retrieval._gram_totals, "gram string, df long, total long").groupBy("gram").agg(F.sum("df").alias("df"), F.sum("total").alias("total")).collect()} == tally
+    for chars, piece, head in ((24 << 20, 1 << 20, 4096), (100, 40, 4096), (100, 1 << 20, 0)):
+        for name, value in (("BLOCK_CHARS", chars), ("SLICE_CHARS", piece), ("HEAD", head)):
+            monkeypatch.setattr(retrieval, name, value)
+        found = retrieval.retrieve(left, right, "name_alnum", k=3)
+        assert {(r.entity_id_s1, r.entity_id_other): (r.score, r.rank) for r in found.collect()} == want
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" in plan and "other_block" not in plan and "hashpartitioning(gram" not in plan and "hashpartitioning(id" not in plan
