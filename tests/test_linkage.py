@@ -337,3 +337,21 @@ def test_retrieval_shuffles_no_weights(spark, monkeypatch):
         assert {(r.entity_id_s1, r.entity_id_other): (r.score, r.rank) for r in found.collect()} == want
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" in plan and "other_block" not in plan and "hashpartitioning(gram" not in plan and "hashpartitioning(id" not in plan
+
+
+def test_similarities_of_many_pairs_at_once(monkeypatch):
+    """Pairs that are combed together score what each scores alone, long texts, empty ones and repeats among them."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcde é ") for _ in range(rng.randint(0, n)))
+    pairs = [(text(12 if i % 4 else 150), text(14 if i % 3 else 150)) for i in range(700)]
+    pairs += pairs[:50]
+    want = [tuple(f(a, b) for f in S.KINDS.values()) for a, b in pairs]
+    assert S.scores_of(pairs, tuple(S.KINDS)) == want
+    for few in (1, 10**6):
+        monkeypatch.setattr(S, "FEW", few)
+        monkeypatch.setattr(S, "FEW_LCS", few)
+        assert S.scores_of(pairs, tuple(S.KINDS)) == want
+    left, right = ["abcab", "xx"], ["bcabcabca", "axbx"]
+    down, m = S._combed(left, right)
+    for c, (a, b) in enumerate(zip(left, right)):
+        assert all(j - i - sum(down[r, c] >= m + i for r in range(j)) == S.lcs(a, b[i:j]) for i in range(len(b)) for j in range(i, len(b) + 1))
