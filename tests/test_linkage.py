@@ -355,3 +355,13 @@ def test_similarities_of_many_pairs_at_once(monkeypatch):
     down, m = S._combed(left, right)
     for c, (a, b) in enumerate(zip(left, right)):
         assert all(j - i - sum(down[r, c] >= m + i for r in range(j)) == S.lcs(a, b[i:j]) for i in range(len(b)) for j in range(i, len(b) + 1))
+
+
+def test_features_are_made_in_many_tasks(spark):
+    """Pairs come dealt by their ids where they are made distinct; small ones stood in one task from there on."""
+    from tessera.operators import features
+
+    left = records(spark, [(f"S1-{i}", "same name", f"{i} street", "us") for i in range(8)])
+    right = records(spark, [(f"S2-{i}", "same name", f"{i} road", "us") for i in range(8)])
+    d = features.features(blocking.flagged(blocking.pairs_by_rule(left, right)), left, right)
+    assert d.rdd.getNumPartitions() >= 4 and d.count() == 64
