@@ -365,3 +365,19 @@ def test_features_are_made_in_many_tasks(spark):
     right = records(spark, [(f"S2-{i}", "same name", f"{i} road", "us") for i in range(8)])
     d = features.features(blocking.flagged(blocking.pairs_by_rule(left, right)), left, right)
     assert d.rdd.getNumPartitions() >= 4 and d.count() == 64
+
+
+def test_models_are_fitted_in_few_tasks(spark, monkeypatch):
+    from pyspark.ml import Pipeline
+
+    from tessera.operators import models
+
+    seen, fit = [], Pipeline.fit
+    monkeypatch.setattr(Pipeline, "fit", lambda self, data: seen.append((data.rdd.getNumPartitions(), data.count())) or fit(self, data))
+    table = spark.range(400).selectExpr("concat('S1-', id) as entity_id_s1", "concat('S2-', id) as entity_id_other", "id * 1.0 as x", "int(id > 200) as label").repartition(50)
+    model = models.PairModel.fit("boosted", table, ["x"], maxIter=2, maxDepth=2)
+    assert seen == [(1, 400)]
+    assert model.score(table).where("(score > 0.5) = (label = 1)").count() == 400
+    monkeypatch.setattr(models, "PART_ROWS", 100)
+    models.PairModel.fit("boosted", table, ["x"], maxIter=1, maxDepth=2)
+    assert seen[1] == (4, 400)
