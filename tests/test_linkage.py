@@ -357,6 +357,31 @@ def test_similarities_of_many_pairs_at_once(monkeypatch):
         assert all(j - i - sum(down[r, c] >= m + i for r in range(j)) == S.lcs(a, b[i:j]) for i in range(len(b)) for j in range(i, len(b) + 1))
 
 
+def test_pairs_of_all_lengths_are_made_at_once(monkeypatch):
+    """Texts of many lengths and scripts score what each pair scores alone, and none of up to SHORT characters is made alone."""
+    rng = random.Random(9)
+    text = lambda: "".join(rng.choice("abcdefé漢   " + chr(0x400 + rng.randint(0, 300))) for _ in range(rng.randint(0, 120)))
+    pairs = [(text(), text()) for _ in range(400)] + [("", ""), (" ", "a"), ("a a", "a"), ("ab " * 40, "ba " * 40)]
+    want = [tuple(f(a, b) for f in S.KINDS.values()) for a, b in pairs]
+    alone, lcs = [], S._lcs
+    monkeypatch.setattr(S, "_lcs", lambda where, n, b: alone.append(n) or lcs(where, n, b))
+    assert S.scores_of(pairs, tuple(S.KINDS)) == want and not alone
+    assert [S.scores_of(pairs, (k,)) for k in S.KINDS] == [[(w[i],) for w in want] for i in range(len(S.KINDS))]
+
+
+def test_feature_table_keeps_records(spark, tmp_path, monkeypatch):
+    """Pages are read for their records once; the features are made from kept ones."""
+    from tessera.plans import queries
+
+    rows = [(i, f"http://a.example/{i}", f"<html lang='en'><title>some title {i % 5} here</title></html>") for i in range(30)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    seen, made = [], queries.candidates
+    monkeypatch.setattr(queries, "candidates", lambda left, right, s: seen.append((left, right)) or made(left, right, s))
+    assert queries.queries()["feature_separation"](spark, str(tmp_path)).count() == 20
+    assert all("InMemoryTableScan" in d._jdf.queryExecution().executedPlan().toString() for d in seen[0])
+    spark.catalog.clearCache()
+
+
 def test_features_are_made_in_many_tasks(spark):
     """Pairs come dealt by their ids where they are made distinct; small ones stood in one task from there on."""
     from tessera.operators import features
