@@ -406,3 +406,19 @@ def test_models_are_fitted_in_few_tasks(spark, monkeypatch):
     monkeypatch.setattr(models, "PART_ROWS", 100)
     models.PairModel.fit("boosted", table, ["x"], maxIter=1, maxDepth=2)
     assert seen[1] == (4, 400)
+
+
+def test_kept_training_rows_are_not_copied(spark, monkeypatch):
+    """A model is fitted on a part of a kept table as it is, in few tasks, and scores what one of its own copy scores."""
+    from pyspark.ml import Pipeline
+
+    from tessera.operators import models
+
+    seen, fit, kept = [], Pipeline.fit, spark.sparkContext._jsc.sc().getPersistentRDDs
+    monkeypatch.setattr(Pipeline, "fit", lambda self, data: seen.append((data.rdd.getNumPartitions(), kept().size())) or fit(self, data))
+    table = spark.range(400).selectExpr("concat('S1-', id) as entity_id_s1", "concat('S2-', id) as entity_id_other", "id * 1.0 as x", "int(id > 200) as label").repartition(50).persist()
+    table.count()
+    before = kept().size()
+    found = [models.PairModel.fit("forest", table.where("x < 350"), ["x"], numTrees=3, maxDepth=2, **kw).score(table).sort("entity_id_s1").collect() for kw in ({}, {"kept": True})]
+    assert seen == [(1, before + 1), (1, before)] and found[0] == found[1]
+    table.unpersist()
