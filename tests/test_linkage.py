@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -422,3 +423,22 @@ def test_kept_training_rows_are_not_copied(spark, monkeypatch):
     found = [models.PairModel.fit("forest", table.where("x < 350"), ["x"], numTrees=3, maxDepth=2, **kw).score(table).sort("entity_id_s1").collect() for kw in ({}, {"kept": True})]
     assert seen == [(1, before + 1), (1, before)] and found[0] == found[1]
     table.unpersist()
+
+
+def test_retrieval_holds_a_tile_of_products(spark, monkeypatch):
+    """Equal texts are compared once, ids decide ties among them and other texts, and products stand in tiles of bounded size."""
+    from tessera.operators import retrieval
+
+    texts = ["same words", "words same", "same words here", "other words", "", None, "éa b"]
+    left = records(spark, [(f"S1-{i}", texts[i % 7], "", "us") for i in range(21)])
+    right = records(spark, [(f"S{2 + i % 2}-{i}", texts[i * i % 7], "", "us") for i in range(60)])
+    idf = retrieval.fit(left.union(right), "name_alnum").persist()
+    want = sorted(map(tuple, retrieval.top_k(*(retrieval.weights(x, "entity_id", "name_alnum", idf) for x in (left, right)), 4).collect()))
+    for tile, rows in ((1 << 21, 1 << 13), (4, 2)):
+        monkeypatch.setattr(retrieval, "TILE", tile)
+        monkeypatch.setattr(retrieval, "BLOCK_ROWS", rows)
+        found = retrieval.retrieve(left, right, "name_alnum", k=4, idf=idf)
+        assert sorted((r.entity_id_s1, r.entity_id_other, r.score, r["rank"]) for r in found.collect()) == want
+    block = retrieval.Block(retrieval.Vectors(np.arange(1001), np.zeros(1000, np.int32), np.ones(1000)), 2)
+    right = retrieval.Vectors(np.arange(5001), np.zeros(5000, np.int32), np.ones(5000))
+    assert block.products(right, 10, 12).shape == (2, 1000)
