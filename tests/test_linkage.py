@@ -442,3 +442,16 @@ def test_retrieval_holds_a_tile_of_products(spark, monkeypatch):
     block = retrieval.Block(retrieval.Vectors(np.arange(1001), np.zeros(1000, np.int32), np.ones(1000)), 2)
     right = retrieval.Vectors(np.arange(5001), np.zeros(5000, np.int32), np.ones(5000))
     assert block.products(right, 10, 12).shape == (2, 1000)
+
+
+def test_records_too_large_to_send_are_joined_first(spark, monkeypatch):
+    """What is shuffled for a pair are its ids, not texts of the side that is sent."""
+    from tessera.operators import features
+
+    d = lambda s, n, size: spark.createDataFrame([(f"{s}-{i}", "x" * size) for i in range(n)], "entity_id string, t string")
+    monkeypatch.setattr(features, "BROADCAST_CHARS", 1000)
+    pairs = spark.createDataFrame([("S1-0", "S2-1"), ("S1-1", "S2-0")], "entity_id_s1 string, entity_id_other string")
+    found = features.with_records(pairs, d("S1", 2, 10), d("S2", 9, 500), ["t"])
+    assert sorted((r.entity_id_s1, r.entity_id_other, len(r.t_s1), len(r.t_other)) for r in found.collect()) == [("S1-0", "S2-1", 10, 500), ("S1-1", "S2-0", 10, 500)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert "entity_id_s1" in next(x for x in plan if "Join" in x)
