@@ -444,6 +444,31 @@ def test_retrieval_holds_a_tile_of_products(spark, monkeypatch):
     assert block.products(right, 10, 12).shape == (2, 1000)
 
 
+def test_left_sets_are_sent_as_codes(spark, monkeypatch):
+    """Sets that are sent as codes meet as those of cells do, frequent items, others and none; repeated pairs count once, right sets travel once."""
+    from tessera.operators import features
+
+    rng = random.Random(12)
+    side = lambda s, n: [(f"{s}-{i}", sorted(rng.sample(range(-40, 40), rng.randint(0, 12))), sorted(rng.sample(range(9), 2)), i) for i in range(n)]
+    l, r = side("S1", 30), side("S2", 50)
+    pairs = [(a[0], b[0]) for a in l for b in r if rng.random() < 0.3]
+    frame = lambda rows: spark.createDataFrame(rows, "entity_id string, s array<long>, t array<long>, n int")
+    s, t, n = ({x[0]: x[k] for x in (*l, *r)} for k in (1, 2, 3))
+    given = spark.createDataFrame(pairs + pairs[:40], "entity_id_s1 string, entity_id_other string")
+    for codes, block in ((1 << 16, 1 << 22), (5, 90), (0, 1 << 22)):
+        monkeypatch.setattr(features, "CODES", codes)
+        monkeypatch.setattr(features, "SENT_BLOCK", block)
+        monkeypatch.setattr(features, "CODE_SHARE", 1)
+        found = features.overlaps(given, frame(l), frame(r), ["s", "t"], numbers=["n"])
+        assert sorted(map(tuple, found.collect())) == sorted((a, b, len({*s[a]} & {*s[b]}), len({*t[a]} & {*t[b]}), n[a], n[b]) for a, b in pairs)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(x" in plan and "y#" not in plan
+    monkeypatch.setattr(features, "SENT_ITEMS", 10)
+    cells = features.overlaps(given, frame(l), frame(r), ["s", "t"], numbers=["n"])
+    assert sorted(map(tuple, cells.collect())) == sorted(map(tuple, found.collect()))
+    assert "y#" in cells._jdf.queryExecution().executedPlan().toString()
+
+
 def test_records_too_large_to_send_are_joined_first(spark, monkeypatch):
     """What is shuffled for a pair are its ids, not texts of the side that is sent."""
     from tessera.operators import features
